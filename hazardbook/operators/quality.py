@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 
 def screen(df: DataFrame, valid: Column, observation: Observation | None = None) -> DataFrame:
     """Keep valid rows. Totals are observed while the rows pass, without a second scan;
-    they can be read from the observation once an action has run."""
-    ok = F.coalesce(valid, F.lit(False))
-    rows = df.withColumn("__valid", ok)
-    if observation is not None:
-        rows = rows.observe(
-            observation,
-            F.count_if(F.col("__valid")).alias("records"),
-            F.count_if(~F.col("__valid")).alias("bad"),
-        )
+    they can be read from the observation once an action has run.
+
+    The rows are observed in any case: the filter then stays above the parser, where it
+    reads a parsed column. Pushed below, it would parse every record a second time.
+    """
+    counted = [
+        F.count_if(F.col("__valid")).alias("records"),
+        F.count_if(~F.col("__valid")).alias("bad"),
+    ]
+    rows = df.withColumn("__valid", F.coalesce(valid, F.lit(False)))
+    rows = rows.observe(observation or "quality", *counted)
     return rows.where("__valid").drop("__valid")
 
 

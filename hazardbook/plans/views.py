@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardbook.lazy import LazyMap
 from hazardbook.operators.latest import latest_per_key, latest_snapshot
 from hazardbook.operators.presence import Source, presence_matrix
 from hazardbook.plans.assessments import (
@@ -92,31 +93,42 @@ def weakness_attack_patterns(patterns: DataFrame, techniques: DataFrame) -> Data
     )
 
 
-def build_views(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
-    """All views by name. They are lazy: only what a query uses is computed."""
-    views = {
-        rules.view: latest_view(tables, name)
+def build_views(spark: SparkSession, tables: Tables) -> LazyMap[DataFrame]:
+    """All views by name; each is planned when it is first named."""
+    builders: dict[str, Callable[[], DataFrame]] = {
+        rules.view: lambda name=name: latest_view(tables, name)
         for name, rules in TABLES.items()
         if rules.view
     }
-    views["datasets"] = datasets(spark)
-    views["ssvc_decision"] = decision_table(spark)
-    views["cve_ssvc_history"] = assessments(tables["cve_history"], repeated_records=True)
-    views["cve_ssvc"] = assessments(views["cve"], repeated_records=False)
-    views["cve_ssvc_candidates"] = decision_candidates(views["cve_ssvc"])
-    views["cve_sources"] = record_sources(
-        tables["epss"],
-        *[views[v] for v in ("cve", "ghsa", "exploitdb", "nuclei", "kev", "cloudflare_waf")],
-    )
-    views["cwe_attack_patterns"] = weakness_attack_patterns(
-        views["capec"], views["attack"]
-    )
+    sources = ("cve", "ghsa", "exploitdb", "nuclei", "kev", "cloudflare_waf")
+    builders |= {
+        "datasets": lambda: datasets(spark),
+        "ssvc_decision": lambda: decision_table(spark),
+        "cve_ssvc_history": lambda: assessments(
+            tables["cve_history"], repeated_records=True
+        ),
+        "cve_ssvc": lambda: assessments(views["cve"], repeated_records=False),
+        "cve_ssvc_candidates": lambda: decision_candidates(views["cve_ssvc"]),
+        "cve_sources": lambda: record_sources(
+            tables["epss"], *[views[name] for name in sources]
+        ),
+        "cwe_attack_patterns": lambda: weakness_attack_patterns(
+            views["capec"], views["attack"]
+        ),
+    }
+    views = LazyMap(builders)
     return views
 
 
+def tables_and_views(spark: SparkSession, tables: Tables) -> LazyMap[DataFrame]:
+    """Base tables and views under one roof."""
+    named = {name: (lambda name=name: tables[name]) for name in tables}
+    return LazyMap({**named, **build_views(spark, tables).builders()})
+
+
 def register_views(
     spark: SparkSession, tables: Tables, transform: Callable[[str], str] = str
 ) -> None:
     """Make every table and view queryable by name with ``spark.sql``."""
-    for name, frame in {**tables, **build_views(spark, tables)}.items():
+    for name, frame in tables_and_views(spark, tables).items():
         frame.createOrReplaceTempView(transform(name))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
-
-_TABLES = {
+# Base tables as DDL text, which readers take as it is.
+SCHEMAS: dict[str, str] = {
     "epss": "cve string, epss double, percentile double, date date, model_version string",
     "cve_history": (
         "cve string, state string, assigner string, title string, description string,"
@@ -74,10 +73,6 @@ _TABLES = {
     ),
 }
 
-SCHEMAS: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl) for name, ddl in _TABLES.items()
-}
-
 
 @dataclass(frozen=True)
 class TableRules:
