@@ -397,33 +397,32 @@ def feed_templates(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "feed_known_exploited",
     """
-select order_key, cve, vendor_project, notes, cwe, date_added, due_date from (
-  select l_orderkey as order_key, 'CVE-2024-' || l_suppkey as cve,
-         l_returnflag as vendor_project,
-         case when l_linestatus = 'O' then 'note ' || l_linenumber end as notes,
-         'CWE-' || l_linenumber as cwe, l_shipdate::date::varchar as date_added,
-         case when l_returnflag <> 'A' then l_shipdate::date::varchar end as due_date,
-         row_number() over (partition by l_orderkey, l_suppkey order by l_shipdate,
-             l_partkey, l_linenumber, l_returnflag, l_linestatus) as rn
-  from lineitem where l_quantity <= 45) where rn = 1""",
+select o_orderkey as order_key, 'CVE-2024-' || o_custkey as cve,
+       o_orderpriority as vendor_project,
+       case when o_orderstatus = 'O' then 'note ' || o_custkey end as notes,
+       'CWE-' || o_custkey as cwe, o_orderdate::date::varchar as date_added,
+       case when o_orderstatus <> 'P' then o_orderdate::date::varchar end as due_date
+from orders
+union all
+select o_orderkey, 'CVE-2023-' || o_orderkey, 'second', null, '', null, null
+from orders where o_orderstatus <> 'F'""",
 )
 def feed_known_exploited(spark: SparkSession, sf: str) -> DataFrame:
-    """One catalog per order with its line items; the first entry of a CVE wins."""
-    entry = F.expr("""named_struct(
-        's', l_shipdate, 'p', l_partkey, 'n', l_linenumber, 'f', l_returnflag,
-        'l', l_linestatus,
-        'v', named_struct(
-          'cveID', concat(if(l_quantity > 45, 'BAD-', 'CVE-2024-'), l_suppkey),
-          'vendorProject', l_returnflag,
-          'notes', if(l_linestatus = 'O', concat('note ', l_linenumber), ''),
-          'cwes', array(concat(' cwe-', l_linenumber), '  '),
-          'dateAdded', date_format(l_shipdate, 'yyyy-MM-dd'),
-          'dueDate', date_format(l_shipdate, if(l_returnflag = 'A', 'yyyyMMdd', 'yyyy-MM-dd'))))""")
-    listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["v"])
-    documents = (
-        table(spark, sf, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_key"))
-        .agg(F.to_json(F.struct(listed.alias("vulnerabilities"))).alias("value"))
+    """One catalog per order with three entries: one names a CVE again for some orders,
+    where the first entry wins, and one is malformed."""
+    documents = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as order_key",
+        """concat('{"vulnerabilities":[', to_json(named_struct(
+          'cveID', concat('CVE-2024-', o_custkey), 'vendorProject', o_orderpriority,
+          'notes', if(o_orderstatus = 'O', concat('note ', o_custkey), ''),
+          'cwes', array(concat(' cwe-', o_custkey), '  '),
+          'dateAdded', date_format(o_orderdate, 'yyyy-MM-dd'),
+          'dueDate', date_format(o_orderdate,
+                                 if(o_orderstatus = 'P', 'yyyyMMdd', 'yyyy-MM-dd')))),
+        ',{"cveID":"', if(o_orderstatus = 'F', concat('CVE-2024-', o_custkey),
+                          concat('CVE-2023-', o_orderkey)),
+        '","vendorProject":"second","notes":5},{"cveID":"BAD-', o_custkey, '"},"text"]}')
+        as value""",
     )
     rows = _parsed(exploited.exploited_rows(documents))
     first = first_per_key(rows, ["order_key", "cve"], ["position"])
@@ -481,61 +480,45 @@ def feed_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _bundles(lines: DataFrame) -> DataFrame:
-    """One bundle per order: a group, a technique per line, and an edge to each; the
-    edge of a returned line points to an object that is not in the bundle."""
-    technique = """named_struct(
-      'type', if(l_linestatus = 'O', 'attack-pattern', 'x-note'),
-      'id', concat('ap--', l_partkey), 'name', concat('part ', l_partkey),
-      'modified', date_format(l_shipdate, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
-      'revoked', if(l_tax > 0.05, true, null),
-      'external_references', array(
-        named_struct('source_name', 'other', 'external_id', 'X1', 'url', 'https://x'),
-        named_struct('source_name', 'mitre-attack', 'external_id', concat('T', l_partkey),
-                     'url', concat('https://a/', l_partkey))),
-      'kill_chain_phases', array(
-        named_struct('kill_chain_name', 'kc', 'phase_name', l_returnflag),
-        named_struct('kill_chain_name', 'kc', 'phase_name', '')))"""
-    edge = """named_struct(
-      'type', 'relationship', 'id', concat('r--', l_partkey, '-', l_linenumber),
-      'relationship_type', 'uses', 'source_ref', concat('g--', l_orderkey),
-      'target_ref', concat(if(l_returnflag = 'R', 'gone--', 'ap--'), l_partkey))"""
-    group = """named_struct('type', 'intrusion-set', 'id', concat('g--', l_orderkey),
-      'name', concat('order ', l_orderkey), 'external_references', array(
-        named_struct('source_name', 'mitre-attack',
-                     'external_id', concat('G', l_orderkey))))"""
-    unique = lines.dropDuplicates(["l_orderkey", "l_partkey", "l_linenumber"]).selectExpr(
-        "l_orderkey", f"to_json({technique}) as t", f"to_json({edge}) as e",
-        f"to_json({group}) as g",
-    )
-    return unique.groupBy(F.col("l_orderkey").alias("matrix")).agg(
-        F.concat(
-            F.lit('{"type":"bundle","objects":['),
-            F.first("g"),
-            F.lit(","),
-            F.array_join(F.collect_list(F.concat_ws(",", "t", "e")), ","),
-            F.lit("]}"),
-        ).alias("value")
-    )
-
-
-# Rows that agree on order, part and line number differ in other columns and one of
-# them is kept at random; only columns they agree on can be compared.
 @register(
     "feed_attack_relationships",
     """
-select distinct l_orderkey as matrix,
-       'r--' || l_partkey || '-' || l_linenumber as relationship_id,
-       'uses' as relationship_type, 'G' || l_orderkey as source_attack_id,
-       'order ' || l_orderkey as source_name, 'intrusion-set' as source_type,
-       false as revoked
-from lineitem""",
+select o_orderkey as matrix, 'r1--' || o_custkey as relationship_id,
+       'uses' as relationship_type, 'G' || o_custkey as source_attack_id,
+       'group ' || o_custkey as source_name, 'intrusion-set' as source_type,
+       'ap--' || o_orderkey as target_ref, null as target_attack_id,
+       'renamed ' || o_orderkey as target_name, 'x-note' as target_type,
+       o_orderstatus = 'F' as revoked
+from orders
+union all
+select o_orderkey, 'r2--' || o_custkey, 'mitigates', 'G' || o_custkey,
+       'group ' || o_custkey, 'intrusion-set', 'gone--' || o_orderkey, null, null, null,
+       false
+from orders""",
 )
 def feed_attack_relationships(spark: SparkSession, sf: str) -> DataFrame:
-    objects = bundles.bundle_objects(_bundles(table(spark, sf, "lineitem")), "matrix")
+    """One bundle per order: a group, an object that is listed twice (the last one
+    counts), an edge between them, and an edge to an object that is not there."""
+    documents = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as matrix",
+        """concat('{"objects":[{"type":"relationship","id":"r1--', o_custkey,
+          '","relationship_type":"uses","source_ref":"g--', o_custkey,
+          '","target_ref":"ap--', o_orderkey, '"',
+          if(o_orderstatus = 'F', ',"revoked":true', ''), '},',
+          '{"type":"attack-pattern","id":"ap--', o_orderkey, '","name":"first",',
+          '"external_references":[{"source_name":"mitre-attack","external_id":"T1"}]},',
+          '{"type":"intrusion-set","id":"g--', o_custkey, '","name":"group ', o_custkey,
+          '","external_references":[{"source_name":"mitre-attack","external_id":"G',
+          o_custkey, '"}]},{"type":"x-note","id":"ap--', o_orderkey,
+          '","name":"renamed ', o_orderkey, '"},{"type":"relationship","id":"r2--',
+          o_custkey, '","relationship_type":"mitigates","source_ref":"g--', o_custkey,
+          '","target_ref":"gone--', o_orderkey, '"}]}') as value""",
+    )
+    objects = bundles.bundle_objects(documents, "matrix")
     return bundles.relationship_rows(objects).select(
         "matrix", "relationship_id", "relationship_type", "source_attack_id",
-        "source_name", "source_type", "revoked",
+        "source_name", "source_type", "target_ref", "target_attack_id", "target_name",
+        "target_type", "revoked",
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.functions.times import date_in_file_name
-from hazardbook.operators.quality import path_differences, table_statistics
+from hazardbook.operators.quality import table_statistics
 from hazardbook.schemas import TABLES, TableRules
 from hazardbook.sinks.lake import Lake, table_of_path
 
@@ -34,82 +34,109 @@ def keeps_up(newest: Column, newest_batch: Column) -> Column:
     )
 
 
-def batch_date(path: Column, rules: TableRules) -> Column:
-    if rules.update_name is None:
-        return F.lit(None).cast("date")
-    return date_in_file_name(path, f"/{rules.update_name}-", "[.]parquet")
+def batch_date(path: Column) -> Column:
+    """Date in the name of a dated batch."""
+    return date_in_file_name(path, "-", "[.]parquet")
 
 
 def batch_year(path: Column) -> Column:
     return F.regexp_extract(path, "/year=([0-9]+)(/|$)", 1).try_cast("int")
 
 
-def table_report(lake: Lake, rules: TableRules, today: date, max_age: int | None) -> DataFrame:
-    """Stored and registered batches agree, the newest row keeps up with the batches,
-    and the table is fresh."""
-    stored = lake.stored_files(rules.folder).select("batch").distinct()
-    stored = stored.where(table_of_path(F.concat("batch", F.lit("/"))) == rules.name)
-    registered = lake.registered(rules.name).select(F.col("path").alias("batch"))
-    problems = path_differences(stored, registered, "batch").agg(
-        F.count_if(F.col("problem") == "stray").alias("stray_batches"),
-        F.count_if(F.col("problem") == "missing").alias("missing_batches"),
+def storage_report(stored: DataFrame, registered: DataFrame) -> DataFrame:
+    """Per table: batches on either side, strays and missing ones, dates in the names.
+
+    Both inputs have ``table_name`` and ``batch``; they are compared by one aggregation.
+    """
+    sides = stored.select("table_name", "batch", F.lit(1).alias("s"), F.lit(0).alias("m"))
+    sides = sides.unionByName(
+        registered.select("table_name", "batch", F.lit(0).alias("s"), F.lit(1).alias("m"))
     )
-    names = stored.agg(
-        F.count("*").alias("batches_in_storage"),
-        F.max(batch_date(F.col("batch"), rules)).alias("newest_batch"),
-        F.min(batch_year(F.col("batch"))).alias("oldest_year"),
+    batches = sides.groupBy("table_name", "batch").agg(
+        F.max("s").alias("s"), F.max("m").alias("m")
     )
-    counted = registered.agg(F.count("*").alias("batches_in_manifest"))
-    rows = table_statistics(lake.table(rules.name), rules.order).select(
-        "row_count",
-        F.col("min_value").cast("date").alias("min_date"),
-        F.col("max_value").cast("date").alias("max_date"),
+    in_storage = F.col("s") == 1
+    path = F.col("batch")
+    return batches.groupBy("table_name").agg(
+        F.sum("s").alias("batches_in_storage"),
+        F.sum("m").alias("batches_in_manifest"),
+        F.count_if(F.col("s") > F.col("m")).alias("stray_batches"),
+        F.count_if(F.col("s") < F.col("m")).alias("missing_batches"),
+        F.max(F.when(in_storage, batch_date(path))).alias("newest_batch"),
+        F.min(F.when(in_storage, batch_year(path))).alias("oldest_year"),
     )
-    # Four one-row aggregates of one table side by side.
-    one = reduce(
-        lambda a, b: a.join(b, "table_name"),
-        [df.withColumn("table_name", F.lit(rules.name)) for df in (names, counted, problems, rows)],
+
+
+def statistics(lake: Lake) -> DataFrame:
+    """Row count and range of the order column of every table; one column is read."""
+    tables = lake.tables()
+    return reduce(
+        DataFrame.unionByName,
+        [
+            table_statistics(tables[name], rules.order).select(
+                F.lit(name).alias("table_name"),
+                "row_count",
+                F.col("min_value").cast("date").alias("min_date"),
+                F.col("max_value").cast("date").alias("max_date"),
+            )
+            for name, rules in TABLES.items()
+        ],
     )
+
+
+def consistent(rules: TableRules) -> Column:
+    """Stored and registered batches agree and the rows fit the names of the batches."""
     ok = (F.col("stray_batches") == 0) & (F.col("missing_batches") == 0)
+    newest, oldest = F.col("newest_batch"), F.col("oldest_year")
     if rules.name == "epss":
-        newest = F.col("newest_batch")
         ok &= newest.isNull() | F.coalesce(F.col("max_date") == newest, F.lit(False))
-        oldest = F.col("oldest_year")
-        ok &= oldest.isNull() | F.coalesce(F.year("min_date") == oldest, F.lit(False))
-    elif rules.dated_updates_follow:
-        ok &= keeps_up(F.col("max_date"), F.col("newest_batch"))
-    limit = staleness_limit(rules, max_age)
-    return one.select(
+        return ok & (
+            oldest.isNull() | F.coalesce(F.year("min_date") == oldest, F.lit(False))
+        )
+    if rules.dated_updates_follow:
+        ok &= keeps_up(F.col("max_date"), newest)
+    return ok
+
+
+def verify(lake: Lake, today: date, max_age_days: int | None = None) -> DataFrame:
+    """One report row per base table; without a manifest one row that says so."""
+    stored = lake.stored_files().select("batch").distinct()
+    if not lake.exists():
+        return stored.agg(F.count("*").alias("batches_in_storage")).select(
+            F.lit("manifest not found").alias("table_name"),
+            "batches_in_storage",
+            F.lit(False).alias("ok"),
+            F.lit(False).alias("stale"),
+        )
+    stored = stored.withColumn(
+        "table_name", table_of_path(F.concat("batch", F.lit("/")))
+    ).where("table_name is not null")
+    registered = lake.registered().select("table_name", F.col("path").alias("batch"))
+    counts = [
+        "batches_in_storage", "batches_in_manifest", "stray_batches", "missing_batches",
+    ]
+    joined = (
+        statistics(lake)
+        .join(storage_report(stored, registered), "table_name", "left")
+        .na.fill(0, counts)
+    )
+    ok, stale = F.lit(None), F.lit(None)
+    for name, rules in TABLES.items():
+        here = F.col("table_name") == name
+        limit = staleness_limit(rules, max_age_days)
+        ok = F.when(here, consistent(rules)).otherwise(ok)
+        stale = F.when(here, is_stale(F.col("max_date"), today, limit)).otherwise(stale)
+    return joined.select(
         "table_name",
-        "batches_in_storage",
-        "batches_in_manifest",
-        "stray_batches",
-        "missing_batches",
+        *counts,
         "row_count",
         "min_date",
         "max_date",
         ok.alias("ok"),
-        is_stale(F.col("max_date"), today, limit).alias("stale"),
+        stale.alias("stale"),
     )
 
 
-def verify(lake: Lake, today: date, max_age_days: int | None = None) -> DataFrame:
-    """Report of all base tables; without a manifest one row that says so."""
-    if not lake.exists():
-        return (
-            lake.stored_files()
-            .agg(F.count("*").alias("batches_in_storage"))
-            .select(
-                F.lit("manifest not found").alias("table_name"),
-                "batches_in_storage",
-                F.lit(False).alias("ok"),
-                F.lit(False).alias("stale"),
-            )
-        )
-    reports = [table_report(lake, r, today, max_age_days) for r in TABLES.values()]
-    return reduce(DataFrame.unionByName, reports)
-
-
 def overall(report: DataFrame) -> DataFrame:
     """One row: everything is fine, anything is stale."""
     return report.agg(F.bool_and("ok").alias("ok"), F.bool_or("stale").alias("stale"))

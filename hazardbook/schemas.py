@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructType
+
 # Base tables as DDL text, which readers take as it is.
 SCHEMAS: dict[str, str] = {
     "epss": "cve string, epss double, percentile double, date date, model_version string",
@@ -74,6 +76,10 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+def columns_of(table: str) -> list[str]:
+    return StructType.fromDDL(SCHEMAS[table]).names
+
+
 @dataclass(frozen=True)
 class TableRules:
     """How one base table is laid out, ordered and checked."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +36,20 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return session
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hazardbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor reaches: ``spark.checkpoint.dir`` of the cluster. Only
-    where that is unset, as in local tests, a temporary folder is chosen."""
+    """Folder every executor reaches: ``spark.checkpoint.dir`` of the session. Only a
+    local session, as in tests, may go without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="hazardbook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
 
 
 def stage(df: DataFrame) -> DataFrame:

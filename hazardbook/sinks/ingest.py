@@ -98,9 +98,11 @@ def backfill_scores(lake: Lake, landed: str, today: date) -> str:
     lines = scores.read_score_lines(lake.spark, landed)
     few = len(lines.inputFiles()) <= scores.BROADCAST_FILES
     file_year = F.year(scores.file_date(F.col("path")))
-    closed = scores.score_rows(
-        lines.where(file_year < today.year), broadcast_headers=few
-    ).withColumn("year", F.year("date"))
+    closed = stage(
+        scores.score_rows(
+            lines.where(file_year < today.year), broadcast_headers=few
+        ).withColumn("year", F.year("date"))
+    )
     added = lake.backfill_years("epss", closed, lake.years_with_daily_batches("epss"))
     running = scores.score_rows(
         lines.where(file_year >= today.year), broadcast_headers=few

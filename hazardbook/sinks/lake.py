@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +16,10 @@ from pyspark.sql import functions as F
 
 from hazardbook.lazy import LazyMap
 from hazardbook.plans.views import register_views, tables_and_views
-from hazardbook.schemas import SCHEMAS, TABLES
+from hazardbook.schemas import SCHEMAS, TABLES, columns_of
 from hazardbook.sinks.files import write_sorted, write_sorted_by_year
 
 MANIFEST = "table_name string, path string, message string"
-# More paths than this are listed by a Spark job, not by name on the driver.
 _FOLDERS = sorted(
     ((rules.folder + "/", name) for name, rules in TABLES.items()), reverse=True
 )
@@ -111,16 +109,24 @@ class Lake:
 
     # -------------------------------------------------------------- reading
 
-    def table(self, name: str) -> DataFrame:
-        """All registered rows of a base table, in its declared schema."""
-        paths = self.registered_paths(name)
-        reader = self.spark.read.schema(SCHEMAS[name])
+    def _read(self, name: str, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return reader.parquet(*[f"{self.root}/{p}" for p in paths])
+        reader = self.spark.read.schema(SCHEMAS[name])
+        return reader.parquet(*[f"{self.root}/{path}" for path in paths])
+
+    def table(self, name: str) -> DataFrame:
+        """All registered rows of a base table, in its declared schema."""
+        return self._read(name, self.registered_paths(name))
 
     def tables(self) -> LazyMap[DataFrame]:
-        return LazyMap({name: (lambda name=name: self.table(name)) for name in SCHEMAS})
+        """Base tables by name, all as of one state of the manifest."""
+        paths: dict[str, list[str]] = {name: [] for name in SCHEMAS}
+        for row in self.manifest().collect():
+            paths[row.table_name].append(row.path)
+        return LazyMap(
+            {name: (lambda name=name: self._read(name, paths[name])) for name in SCHEMAS}
+        )
 
     def frames(self) -> LazyMap[DataFrame]:
         """Base tables and views by name."""
@@ -147,9 +153,8 @@ class Lake:
     def write_batch(self, table: str, rows: DataFrame, path: str) -> int:
         """Store rows sorted by the table's keys and return how many there are. They stay
         invisible until the batch is added."""
-        columns = [c.name for c in self.spark.createDataFrame([], SCHEMAS[table]).schema]
         target = f"{self.root}/{path}"
-        write_sorted(rows.select(*columns), target, TABLES[table].sort)
+        write_sorted(rows.select(*columns_of(table)), target, TABLES[table].sort)
         return self.spark.read.schema(SCHEMAS[table]).parquet(target).count()
 
     def append(self, table: str, rows: DataFrame, path: str, label: str) -> BatchResult:
@@ -166,38 +171,29 @@ class Lake:
         """Write the rows by their ``year`` in one job and register each new year.
 
         Years that are registered, and those to ``skip``, are left out before anything
-        is shuffled. Returns the years that were added.
+        is shuffled. The rows are read more than once, so pass a staged table. Returns
+        the years that were added.
         """
         folder = TABLES[table].folder
-        done = {int(y) for y in self._years(table)} | set(skip)
-        columns = [c.name for c in self.spark.createDataFrame([], SCHEMAS[table]).schema]
-        fresh = rows.where(F.col("year").isNotNull()).select(*columns, "year")
-        if done:
-            fresh = fresh.where(~F.col("year").isin(*sorted(done)))
+        done = {*self._years(table), *skip}
+        found = rows.select("year").where("year is not null").distinct().collect()
+        years = sorted({row.year for row in found} - done)
+        if not years:
+            return []
+        fresh = rows.where(F.col("year").isin(*years)).select(*columns_of(table), "year")
         write_sorted_by_year(fresh, f"{self.root}/{folder}", TABLES[table].sort)
-        stored = self.stored_files(folder).select(
-            F.regexp_extract("batch", f"^{folder}/year=([0-9]+)$", 1)
-            .try_cast("int")
-            .alias("year")
-        )
-        written = stored.where("year is not null").distinct()
-        if done:
-            written = written.where(~F.col("year").isin(*sorted(done)))
-        years = sorted(row.year for row in written.collect())
-        if years:
-            entries = [
-                (table, f"{folder}/year={year}", f"{table} {year} backfill")
-                for year in years
-            ]
-            self._register(self.spark.createDataFrame(entries, MANIFEST))
+        entries = [
+            (table, f"{folder}/year={year}", f"{table} {year} backfill") for year in years
+        ]
+        self._register(self.spark.createDataFrame(entries, MANIFEST))
         return years
 
-    def _years(self, table: str) -> list[str]:
+    def _years(self, table: str) -> list[int]:
         pattern = f"^{TABLES[table].folder}/year=([0-9]+)$"
         found = self.registered(table).select(
-            F.regexp_extract("path", pattern, 1).alias("year")
+            F.regexp_extract("path", pattern, 1).try_cast("int").alias("year")
         )
-        return [row.year for row in found.where("year != ''").collect()]
+        return [row.year for row in found.where("year is not null").collect()]
 
     def years_with_daily_batches(self, table: str) -> list[int]:
         """Years that hold dated batches; folding such a year into one would store its
@@ -261,6 +257,3 @@ class Lake:
         suffix = f" (ignored {counts.unknown} unknown batches)" if counts.unknown else ""
         return f"rebuilt manifest with {counts.known} batches{suffix}"
 
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 def relative_path(file_path: Column, root: str) -> Column:
     """Path below ``root`` of a file URL."""
     base = root.split(":", 1)[-1].rstrip("/") + "/"
-    base = "/" + base.lstrip("/") if root.startswith("/") or ":" in root else base
     plain = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     return F.substring(plain, F.instr(plain, base) + len(base), F.length(plain))
 
