@@ -13,6 +13,7 @@ from hazardbook.bindings.registry import register, table
 from hazardbook.functions.times import year_in_file_name
 from hazardbook.operators.latest import first_per_key
 from hazardbook.operators.quality import screen
+from hazardbook.session import spread
 from hazardbook.sources import (
     advisories,
     bundles,
@@ -79,7 +80,7 @@ select 'CVE-2024-' || lpad(user_id::varchar, 6, '0') as cve, value as epss,
 from events where event_type <> 'error'""",
 )
 def feed_score_files(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _score_lines(table(spark, sf, "events"))
+    lines = _score_lines(spread(table(spark, sf, "events")))
     wanted = lines.where(scores.is_score_file(F.col("path")))
     return _text(scores.score_rows(wanted), "date")
 
@@ -93,7 +94,7 @@ from events where event_type <> 'error' group by 1""",
 def feed_score_file_names(spark: SparkSession, sf: str) -> DataFrame:
     """Mirror discovery: dated files outside of beta folders, by date and year."""
     path = F.col("path")
-    lines = _score_lines(table(spark, sf, "events")).where(
+    lines = _score_lines(spread(table(spark, sf, "events"))).where(
         scores.is_score_file(path) & F.col("value").startswith("CVE-")
     )
     return _text(
@@ -179,7 +180,7 @@ select 'CVE-' || year(o_orderdate) || '-' || lpad(o_orderkey::varchar, 7, '0') a
 from orders where o_totalprice >= 10000""",
 )
 def feed_records(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _record_documents(table(spark, sf, "orders"))
+    documents = _record_documents(spread(table(spark, sf, "orders")))
     return _text(_parsed(records.record_rows(documents)).drop("raw"), "cwe")
 
 
@@ -191,7 +192,7 @@ select count(*) filter (o_totalprice >= 10000) as records,
 )
 def feed_record_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Malformed records are counted, not fatal."""
-    rows = records.record_rows(_record_documents(table(spark, sf, "orders")))
+    rows = records.record_rows(_record_documents(spread(table(spark, sf, "orders"))))
     return rows.agg(
         F.count_if("valid").alias("records"), F.count_if(~F.col("valid")).alias("bad")
     )
@@ -251,7 +252,7 @@ from lineitem where l_linenumber <> 7""",
 )
 def feed_advisories(spark: SparkSession, sf: str) -> DataFrame:
     rows = _parsed(
-        advisories.advisory_rows(_advisory_documents(table(spark, sf, "lineitem")))
+        advisories.advisory_rows(_advisory_documents(spread(table(spark, sf, "lineitem"))))
     )
     dash = F.lit("-")
     ranges = F.transform(
@@ -299,7 +300,7 @@ def feed_exploit_index(spark: SparkSession, sf: str) -> DataFrame:
         " date_format(o_orderdate, 'yyyy-MM-dd'))",
         "date_updated": "date_format(o_orderdate, ' yyyy-MM-dd ')",
     }
-    index = table(spark, sf, "orders").selectExpr(
+    index = spread(table(spark, sf, "orders")).selectExpr(
         *[f"{written.get(c, 'cast(null as string)')} as {c}" for c in exploits.COLUMNS]
     )
     rows = _parsed(exploits.exploit_rows(index)).select(
@@ -382,7 +383,7 @@ from part where p_type <> 'STANDARD'""",
 def feed_templates(spark: SparkSession, sf: str) -> DataFrame:
     """YAML templates; signature lines do not count for the digest, and the STANDARD
     parts are documents that are no templates."""
-    documents = table(spark, sf, "part").selectExpr(
+    documents = spread(table(spark, sf, "part")).selectExpr(
         "concat('http/', p_partkey, '.yaml') as file",
         f"if(p_type = 'STANDARD', '- just\\n- a list\\n', concat({_TEMPLATE_SPARK},"
         " '# digest: 4a0a', p_partkey, '\\n')) as value",
@@ -410,7 +411,7 @@ from orders where o_orderstatus <> 'F'""",
 def feed_known_exploited(spark: SparkSession, sf: str) -> DataFrame:
     """One catalog per order with three entries: one names a CVE again for some orders,
     where the first entry wins, and one is malformed."""
-    documents = table(spark, sf, "orders").selectExpr(
+    documents = spread(table(spark, sf, "orders")).selectExpr(
         "o_orderkey as order_key",
         """concat('{"vulnerabilities":[', to_json(named_struct(
           'cveID', concat('CVE-2024-', o_custkey), 'vendorProject', o_orderpriority,
@@ -459,7 +460,7 @@ def feed_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
     text = "case p_type when 'SMALL' then 'Summary' when 'PROMO' then 'Objective' else 'Description' end"
     group = "case p_type when 'SMALL' then 'Relationships' when 'PROMO' then 'Members' else 'Related_Weaknesses' end"
     member = "if(p_type in ('SMALL', 'PROMO'), 'Has_Member', 'Related_Weakness')"
-    documents = table(spark, sf, "part").selectExpr(
+    documents = spread(table(spark, sf, "part")).selectExpr(
         f"""concat('<?xml version="1.0"?>\\n<Weakness_Catalog xmlns="http://cwe.mitre.org/cwe-7"',
           ' xmlns:xhtml="http://www.w3.org/1999/xhtml" Version="4.20" Date="2024-01-02"><Entries><',
           {tag}, ' ID="', p_partkey, '" Name="', p_name, ' &amp; more" Abstraction="', p_brand,
@@ -499,7 +500,7 @@ from orders""",
 def feed_attack_relationships(spark: SparkSession, sf: str) -> DataFrame:
     """One bundle per order: a group, an object that is listed twice (the last one
     counts), an edge between them, and an edge to an object that is not there."""
-    documents = table(spark, sf, "orders").selectExpr(
+    documents = spread(table(spark, sf, "orders")).selectExpr(
         "o_orderkey as matrix",
         """concat('{"objects":[{"type":"relationship","id":"r1--', o_custkey,
           '","relationship_type":"uses","source_ref":"g--', o_custkey,
@@ -538,7 +539,7 @@ select s_suppkey, 'G' || s_suppkey, 'g--' || s_suppkey, 'intrusion-set',
 from supplier""",
 )
 def feed_attack_objects(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "supplier").selectExpr(
+    documents = spread(table(spark, sf, "supplier")).selectExpr(
         "s_suppkey as matrix",
         """concat('{"objects":[', to_json(named_struct(
           'type', 'attack-pattern', 'id', concat('ap--', s_suppkey), 'name', s_name,
@@ -600,7 +601,7 @@ def feed_attack_patterns(spark: SparkSession, sf: str) -> DataFrame:
             ("'mitre-attack'", "concat(if(c_mktsegment = 'BUILDING', 'X', 'T'), c_custkey)"),
         )
     )
-    documents = table(spark, sf, "customer").selectExpr(
+    documents = spread(table(spark, sf, "customer")).selectExpr(
         f"""to_json(named_struct('objects', array(named_struct(
           'type', 'attack-pattern', 'id', concat('ap--', c_custkey), 'name', c_name,
           'x_mitre_deprecated', c_acctbal < 0,
@@ -644,7 +645,7 @@ from found""",
 )
 def feed_changelog_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Free-text change-log pages around the whole text of every web page."""
-    pages = table(spark, sf, "pages").selectExpr(
+    pages = spread(table(spark, sf, "pages")).selectExpr(
         "concat('src/content/changelog/waf/', page_id, '.mdx') as path",
         """concat('---\\ntitle: "Page ', page_id, ' of "all""\\n  date: 1999-01-01\\n',
           'date: on 2024-03-01\\n---\\n', html, ' seen in cve-2024-', 10000 + page_id,
@@ -676,7 +677,7 @@ def feed_changelog_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
     again = row.format("'again RUSTSEC-2024-', o_orderkey", "'2030-01-01'")
     without = row.format("'no identifier'", "'2030-01-01'")
-    pages = table(spark, sf, "orders").selectExpr(
+    pages = spread(table(spark, sf, "orders")).selectExpr(
         "concat('src/content/docs/waf/change-log/historical-', o_orderkey, '.mdx') as path",
         f"""concat('---\\ntitle: H\\n---\\n<table>', {without},
           '<tr><td>CVE-2024-11111</td></tr>\\n', {wanted}, {again}, '</table>') as value""",

@@ -54,6 +54,7 @@ from hazardbook.operators.quality import (
     table_statistics,
 )
 from hazardbook.operators.references import resolve_ends
+from hazardbook.session import spread
 from hazardbook.sources.changelog import public_url
 
 
@@ -288,7 +289,7 @@ from (select unnest(string_split(text, ' ')) as token from documents) group by 1
 )
 def unnest_count(spark: SparkSession, sf: str) -> DataFrame:
     """Uses of every word of every whole text."""
-    words = table(spark, sf, "documents").select(F.split("text", " ").alias("words"))
+    words = spread(table(spark, sf, "documents")).select(F.split("text", " ").alias("words"))
     return count_per_item(words, "words", "token", "uses")
 
 
@@ -686,19 +687,20 @@ from f"""
 @register("identifiers_in_text", _IDS_SQL)
 def identifiers_in_text(spark: SparkSession, sf: str) -> DataFrame:
     """Identifiers of several families in whole texts, with the text around them."""
-    rows = table(spark, sf, "documents").selectExpr(
+    rows = spread(table(spark, sf, "documents")).selectExpr(
         "doc_id",
         "concat(text, ' go-2024-', doc_id, ', CVE-2024-', 10000 + doc_id,"
         " ' (GHSA-abcd-12ef-', left(md5(string(doc_id)), 4), ') Cve-2024-',"
         " 10000 + doc_id, ' xCVE-2024-99999') as body",
     )
+    rows = rows.withColumn("upper_body", F.upper("body"))
     found = rows.withColumn("identifier", F.explode(extract_identifiers(F.col("body"))))
     identifier = F.col("identifier")
     return found.select(
         "doc_id",
         "identifier",
         identifier_family(identifier).alias("family"),
-        excerpt_around(F.col("body"), identifier).alias("excerpt"),
+        excerpt_around(F.col("body"), identifier, F.col("upper_body")).alias("excerpt"),
     )
 
 
@@ -713,7 +715,7 @@ from pages"""
 
 @register("markup_to_text", _PLAIN_SQL)
 def markup_to_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"))
     return pages.select("page_id", plain_text(F.col("html")).alias("text"))
 
 
@@ -805,7 +807,7 @@ def cvss_base_score(spark: SparkSession, sf: str) -> DataFrame:
     letters = ", ".join(
         f"'/{name}:', {_case(parts)}" for name, parts in _VECTOR_PARTS.items()
     )
-    good = table(spark, sf, "customer").selectExpr(
+    good = spread(table(spark, sf, "customer")).selectExpr(
         "c_custkey",
         f"concat('CVSS:', if(c_acctbal < 1000, '3.0', '3.1'), {letters}) as vector",
     )
@@ -857,7 +859,7 @@ def affected_version_ranges(spark: SparkSession, sf: str) -> DataFrame:
         f" 'last_affected', if({kind} = 'N', 'v{i}', null))"
         for i, kind in enumerate(_EVENT_KINDS, start=1)
     )
-    packages = table(spark, sf, "lineitem").selectExpr(
+    packages = spread(table(spark, sf, "lineitem")).selectExpr(
         "l_orderkey",
         "array(named_struct('package', named_struct('ecosystem', 'pkg', 'name', ''),"
         f" 'ranges', array(named_struct('events', array({events}))))) as affected",

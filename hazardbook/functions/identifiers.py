@@ -17,8 +17,9 @@ IDENTIFIER_SHAPES = {
 # No token of one family can contain a token of another, so one alternation finds
 # the same identifiers as a search per family and returns them already in order.
 # Word boundaries are spelled out so that accented letters count as word characters.
+# The first letters are looked at before anything else: most positions end there.
 _ANY_IDENTIFIER = (
-    r"(?i)(?<![\p{L}\p{N}_])(?:"
+    r"(?i)(?=[CGPR])(?<![\p{L}\p{N}_])(?:"
     + "|".join(IDENTIFIER_SHAPES.values())
     + r")(?![\p{L}\p{N}_])"
 )
@@ -34,11 +35,16 @@ def identifier_family(identifier: Column) -> Column:
     return F.substring_index(identifier, "-", 1)
 
 
-def excerpt_around(text: Column, identifier: Column, size: int = 120) -> Column:
+def excerpt_around(
+    text: Column, identifier: Column, upper_text: Column, size: int = 120
+) -> Column:
     """Text around the first occurrence (half of ``size`` on each side), or the
-    first ``size`` characters when the identifier does not occur."""
+    first ``size`` characters when the identifier does not occur.
+
+    ``upper_text`` is the text in upper case, taken once per text by the caller.
+    """
     half = size // 2
-    found_at = F.instr(F.upper(text), identifier)
+    found_at = F.instr(upper_text, identifier)
     start = F.greatest(F.lit(1), found_at - half)
     end = F.least(F.length(text), found_at - 1 + F.length(identifier) + half)
     around = F.trim(F.substring(text, start, end - start + 1))

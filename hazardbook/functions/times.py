@@ -12,23 +12,22 @@ _ISO_TIMESTAMP = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 )
-_OFFSET = r"[0-9]{2}:[0-9]{2}.*([+-])([0-9]{2}):?([0-9]{2})$"
+_OFFSET = r"[0-9]{2}:[0-9]{2}.*([+-][0-9]{2}:?[0-9]{2})$"
 
 
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text to a zone-less UTC timestamp, NULL when it is not one.
 
     The wall-clock part is cast without a zone and the offset is subtracted, so a
-    session time zone other than UTC gives the same answer.
+    session time zone other than UTC gives the same answer. The usual text ends in
+    ``Z`` and skips the offset.
     """
     wall = F.when(text.rlike(_ISO_TIMESTAMP), text).try_cast("timestamp_ntz")
-    sign = F.regexp_extract(text, _OFFSET, 1)
-    minutes = (
-        F.regexp_extract(text, _OFFSET, 2).try_cast("int") * 60
-        + F.regexp_extract(text, _OFFSET, 3).try_cast("int")
-    ) * F.when(sign == "-", -1).otherwise(1)
-    shift = F.make_dt_interval(mins=minutes)
-    return F.when(sign != "", wall - shift).otherwise(wall)
+    offset = F.replace(F.regexp_extract(text, _OFFSET, 1), F.lit(":"))
+    hours = F.substring(offset, 1, 3).try_cast("int")
+    minutes = F.concat(F.substring(offset, 1, 1), F.substring(offset, 4, 2)).try_cast("int")
+    shifted = wall - F.make_dt_interval(hours=hours, mins=minutes)
+    return F.when(text.endswith("Z") | ~text.rlike(_OFFSET), wall).otherwise(shifted)
 
 
 def iso_date(text: Column, *, trim: bool = False) -> Column:

@@ -42,7 +42,11 @@ def record_sources(
     exploited: DataFrame,
     mentions: DataFrame,
 ) -> DataFrame:
-    """Which datasets know a vulnerability. Withdrawn rows do not count."""
+    """Which datasets know a vulnerability. Withdrawn rows do not count.
+
+    ``records`` may be the history: any version of a record makes it present, so the
+    widest table is not reduced to its newest rows for this.
+    """
     in_exploits = exploits.select(F.explode("cve").alias("cve")).where("cve is not null")
     in_templates = (
         templates.where(~F.col("removed"))
@@ -100,7 +104,7 @@ def build_views(spark: SparkSession, tables: Tables) -> LazyMap[DataFrame]:
         for name, rules in TABLES.items()
         if rules.view
     }
-    sources = ("cve", "ghsa", "exploitdb", "nuclei", "kev", "cloudflare_waf")
+    sources = ("ghsa", "exploitdb", "nuclei", "kev", "cloudflare_waf")
     builders |= {
         "datasets": lambda: datasets(spark),
         "ssvc_decision": lambda: decision_table(spark),
@@ -110,7 +114,9 @@ def build_views(spark: SparkSession, tables: Tables) -> LazyMap[DataFrame]:
         "cve_ssvc": lambda: assessments(views["cve"], repeated_records=False),
         "cve_ssvc_candidates": lambda: decision_candidates(views["cve_ssvc"]),
         "cve_sources": lambda: record_sources(
-            tables["epss"], *[views[name] for name in sources]
+            tables["epss"],
+            tables["cve_history"],
+            *[views[name] for name in sources],
         ),
         "cwe_attack_patterns": lambda: weakness_attack_patterns(
             views["capec"], views["attack"]

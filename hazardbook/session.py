@@ -52,6 +52,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a file scan over all cores, when the files are too few to occupy them.
+
+    For work that costs far more per row than moving the row, such as parsing. A scan
+    with enough splits, as any large table has, is left alone.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= wanted:
+        return scan
+    return scan.repartition(wanted)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 

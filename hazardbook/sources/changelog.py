@@ -96,7 +96,7 @@ def mention_rows(pages: DataFrame) -> DataFrame:
         .otherwise(F.col("part.dated"))
         .alias("dated"),
     )
-    mentions = plain.select(
+    mentions = plain.withColumn("upper_text", F.upper("text")).select(
         "*",
         F.posexplode(extract_identifiers(F.col("text"))).alias("position", "identifier"),
     )
@@ -109,7 +109,9 @@ def mention_rows(pages: DataFrame) -> DataFrame:
         .alias("source_title"),
         "source_url",
         first_iso_date(F.col("dated")).alias("source_date"),
-        excerpt_around(F.col("text"), F.col("identifier")).alias("matched_text"),
+        excerpt_around(
+            F.col("text"), F.col("identifier"), F.col("upper_text")
+        ).alias("matched_text"),
         F.split("path", "/").alias("__path"),
         "text_position",
         "position",
