@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardbook.operators.skew import own_shuffle
+
 _ITEM = "__item"
+_MATCH = "__match"
 
 
 def where_contains(df: DataFrame, array: str, value) -> DataFrame:
@@ -49,13 +52,14 @@ def join_on_item(
     sizes it measures.
 
     ``how="left"`` also keeps left rows without any match, once. It needs ``row_key``,
-    columns that identify a left row: matches are found on those narrow columns and
-    the full rows are joined back by key, so they are never multiplied by the length
-    of their arrays.
+    columns that identify a left row and are never NULL: matches are found on those
+    narrow columns and the full rows are joined back by key, so they are never
+    multiplied by the length of their arrays.
     """
+    right = right.withColumn(_MATCH, own_shuffle(F.col(item)))
     if how == "inner":
         expanded = left.withColumn(_ITEM, F.explode(F.array_distinct(F.col(array))))
-        return expanded.join(right, F.col(_ITEM) == F.col(item)).drop(_ITEM)
+        return expanded.join(right, F.col(_ITEM) == F.col(_MATCH)).drop(_ITEM, _MATCH)
     if how != "left":
         raise ValueError(f"unsupported join type {how!r}")
     if not row_key:
@@ -64,6 +68,6 @@ def join_on_item(
         *[F.col(c).alias(f"__key_{c}") for c in row_key],
         F.explode(F.array_distinct(F.col(array))).alias(_ITEM),
     )
-    matches = expanded.join(right, F.col(_ITEM) == F.col(item)).drop(_ITEM)
-    same_row = [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in row_key]
+    matches = expanded.join(right, F.col(_ITEM) == F.col(_MATCH)).drop(_ITEM, _MATCH)
+    same_row = [F.col(c) == F.col(f"__key_{c}") for c in row_key]
     return left.join(matches, same_row, "left").drop(*[f"__key_{c}" for c in row_key])

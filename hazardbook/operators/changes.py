@@ -55,21 +55,27 @@ def classify_snapshot(
 
     Returns ``current`` and ``previous`` structs and a ``change``: added, changed,
     revived, removed, or NULL when there is nothing to store. Both sides hold a key
-    once, so no key can be hot.
+    once, so no key can be hot. Keys are never NULL. They stay plain columns for the
+    join: a side that is partitioned by its key already is then not shuffled again.
     """
-    now = current.select(F.struct("*").alias("current"))
-    before = latest.select(F.struct("*").alias("previous"))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(
+            *[F.col(k).alias(f"__{name}_{k}") for k in keys], F.struct("*").alias(name)
+        )
+
     cur, prev = F.col("current"), F.col("previous")
-    same_key = reduce(
-        lambda a, b: a & b, [cur[k].eqNullSafe(prev[k]) for k in keys]
-    )
+    same_key = [F.col(f"__current_{k}") == F.col(f"__previous_{k}") for k in keys]
     change = (
         F.when(cur.isNotNull() & prev.isNull(), "added")
         .when(cur.isNotNull() & prev["removed"], "revived")
         .when(cur.isNotNull() & any_difference(prev, cur, compare), "changed")
         .when(cur.isNull() & ~prev["removed"], "removed")
     )
-    return now.join(before, same_key, "full_outer").withColumn("change", change)
+    joined = side(current, "current").join(
+        side(latest, "previous"), same_key, "full_outer"
+    )
+    return joined.select("current", "previous", change.alias("change"))
 
 
 def snapshot_changes(

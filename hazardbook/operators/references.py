@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.operators.latest import latest_per_key
+from hazardbook.operators.skew import own_shuffle
 
 
 def resolve_ends(
@@ -29,7 +30,10 @@ def resolve_ends(
     result = edges
     for reference, prefix in ends:
         side = unique.select(
-            *[F.col(c).alias(f"__{prefix}_{c}") for c in (*scope, object_key)],
+            *[
+                own_shuffle(F.col(c)).alias(f"__{prefix}_{c}")
+                for c in (*scope, object_key)
+            ],
             *[F.col(a).alias(f"{prefix}_{a}") for a in attributes],
         )
         on = [F.col(c) == F.col(f"__{prefix}_{c}") for c in scope]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import cache, wraps
+from typing import ParamSpec, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,13 +67,49 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(wanted)
 
 
+_staged: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar(
+    "staged", default=None
+)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
     Used where several actions need the same parsed rows: the lineage is cut at a
-    table that outlives lost executors, and the source is parsed only once.
+    table that outlives lost executors, and the source is parsed only once. Inside a
+    ``staged_job`` the table is dropped when the job ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    scope = _staged.get()
+    if scope is not None:
+        scope.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+
+
+P = ParamSpec("P")
+R = TypeVar("R")
+
+
+def staged_job(job: Callable[P, R]) -> Callable[P, R]:
+    """Drop the tables a job staged once it has ended, also after a failure."""
+
+    @wraps(job)
+    def run(*args: P.args, **kwargs: P.kwargs) -> R:
+        tables: list[tuple[SparkSession, str]] = []
+        token = _staged.set(tables)
+        try:
+            return job(*args, **kwargs)
+        finally:
+            _staged.reset(token)
+            for spark, path in tables:
+                _drop(spark, path)
+
+    return run

@@ -21,7 +21,7 @@ from hazardbook.operators.changes import (
 from hazardbook.operators.latest import first_per_key
 from hazardbook.operators.quality import screen
 from hazardbook.plans.views import latest_view
-from hazardbook.session import stage
+from hazardbook.session import stage, staged_job
 from hazardbook.sinks.lake import BatchResult, Lake
 from hazardbook.sources import (
     advisories,
@@ -68,11 +68,13 @@ def _append(
 # ------------------------------------------------------------------------- scores
 
 
+@staged_job
 def update_scores(lake: Lake, landed: str) -> list[BatchResult]:
     """Append every landed day that is not registered yet, one batch per day."""
     return add_score_days(lake, scores.read_scores(lake.spark, landed))
 
 
+@staged_job
 def add_score_days(lake: Lake, rows: DataFrame) -> list[BatchResult]:
     """Only the days are listed here; each is a daily file's worth of rows."""
     staged = stage(rows)
@@ -90,6 +92,7 @@ def add_score_days(lake: Lake, rows: DataFrame) -> list[BatchResult]:
     ]
 
 
+@staged_job
 def backfill_scores(lake: Lake, landed: str, today: date) -> str:
     """Fold each closed year into one sorted batch and keep the running year daily.
 
@@ -125,6 +128,7 @@ def model_versions_by_year(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- watermarked feeds
 
 
+@staged_job
 def update_records(lake: Lake, landed: str, baseline: date) -> BatchResult:
     """Records changed after the newest stored one."""
     table, label = "cve_history", baseline.isoformat()
@@ -140,6 +144,7 @@ def update_records(lake: Lake, landed: str, baseline: date) -> BatchResult:
     )
 
 
+@staged_job
 def backfill_records(lake: Lake, landed: str) -> str:
     """All records, one batch per year of the record id."""
     rows, bad = _screened(records.record_rows(records.read_records(lake.spark, landed)))
@@ -149,6 +154,7 @@ def backfill_records(lake: Lake, landed: str) -> str:
     return f"backfilled {len(years)} year batches ({bad} bad records)"
 
 
+@staged_job
 def update_advisories(lake: Lake, landed: str, run_date: date) -> BatchResult:
     table, label = "ghsa_history", run_date.isoformat()
     path = lake.batch_path(table, run_date)
@@ -163,6 +169,7 @@ def update_advisories(lake: Lake, landed: str, run_date: date) -> BatchResult:
     return _append(lake, table, newer_than(rows, "modified", watermark), path, label, bad)
 
 
+@staged_job
 def backfill_advisories(lake: Lake, landed: str) -> str:
     rows, bad = _screened(
         advisories.advisory_rows(advisories.read_advisories(lake.spark, landed))
@@ -173,6 +180,7 @@ def backfill_advisories(lake: Lake, landed: str) -> str:
     return f"backfilled {len(years)} year batches ({bad} bad records)"
 
 
+@staged_job
 def update_exploits(lake: Lake, landed: str, run_date: date) -> BatchResult:
     """Index rows of the newest stored day that were not stored then, and later ones."""
     table, label = "exploitdb_history", run_date.isoformat()
@@ -190,6 +198,7 @@ def update_exploits(lake: Lake, landed: str, run_date: date) -> BatchResult:
     return _append(lake, table, fresh, path, label, bad)
 
 
+@staged_job
 def backfill_exploits(lake: Lake, landed: str) -> str:
     rows, bad = _screened(
         exploits.exploit_rows(exploits.read_exploit_index(lake.spark, landed))
@@ -219,6 +228,7 @@ def _update_snapshot(
     return _append(lake, table, changes, path, run_date.isoformat(), bad)
 
 
+@staged_job
 def update_templates(lake: Lake, landed: str, run_date: date) -> BatchResult:
     """Templates whose content or path changed, came back, or are gone."""
     table = "nuclei_history"
@@ -233,6 +243,7 @@ def update_templates(lake: Lake, landed: str, run_date: date) -> BatchResult:
     )
 
 
+@staged_job
 def update_exploited(lake: Lake, landed: str, run_date: date) -> BatchResult:
     """Catalog entries with any changed field, that came back, or are gone."""
     table = "kev_history"
@@ -253,6 +264,7 @@ def update_exploited(lake: Lake, landed: str, run_date: date) -> BatchResult:
     )
 
 
+@staged_job
 def update_mentions(lake: Lake, landed: str, run_date: date) -> BatchResult:
     table = "cloudflare_waf_history"
     if lake.is_registered(lake.batch_path(table, run_date)):
@@ -268,6 +280,7 @@ def update_mentions(lake: Lake, landed: str, run_date: date) -> BatchResult:
 # ------------------------------------------------------------ versioned snapshots
 
 
+@staged_job
 def update_weaknesses(lake: Lake, landed: str) -> list[BatchResult]:
     """Append the whole catalog of every release that is not stored yet."""
     elements = weaknesses.catalog_elements(
@@ -286,6 +299,7 @@ def update_weaknesses(lake: Lake, landed: str) -> list[BatchResult]:
     ]
 
 
+@staged_job
 def update_techniques(lake: Lake, landed: str, run_date: date) -> list[BatchResult]:
     """Append the whole snapshot of all matrices, objects and relationships."""
     label = run_date.isoformat()
@@ -308,6 +322,7 @@ def update_techniques(lake: Lake, landed: str, run_date: date) -> list[BatchResu
     return [BatchResult("published", label, count), *results]
 
 
+@staged_job
 def update_patterns(lake: Lake, landed: str, run_date: date) -> BatchResult:
     label = run_date.isoformat()
     path = lake.batch_path("capec_history", run_date)

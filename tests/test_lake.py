@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import feedfiles as ff
@@ -9,6 +10,8 @@ import pytest
 
 from hazardbook.checks import overall, verify
 from hazardbook.operators.changes import ShrunkSnapshot
+from hazardbook.schemas import columns_of
+from hazardbook.session import shared_folder
 from hazardbook.sinks import ingest
 from hazardbook.sinks.lake import Lake
 from hazardbook.streaming.daily import ingest_arrivals
@@ -101,6 +104,12 @@ def test_records_strict_watermark(spark, tmp_path, lake):
     assert overall(verify(lake, date(2026, 1, 4), 3)).head() == (True, False)
     lake.refresh_views("t_")
     assert lake.query("select count(*) n from t_cve_history").head().n == 3
+    names = {r.tableName for r in lake.query("show tables").collect()}
+    assert {f"t_{name}" for name in lake.frames()} <= names
+    described = [r.col_name for r in lake.query("describe t_cve").collect()]
+    assert described == columns_of("cve_history")
+    messages = [r.message for r in lake.manifest().orderBy("path").collect()]
+    assert messages[0] == "cve_history 2026-01-03 (1 records)"
 
 
 def test_advisories(spark, tmp_path, lake):
@@ -257,12 +266,14 @@ def test_techniques_patterns_and_bridge(spark, tmp_path, lake):
 
 
 def test_rebuild(spark, tmp_path, lake):
+    staged_before = set(os.listdir(shared_folder(spark)))
     assert lake.rebuild() == "refused: no parquet files in storage"
     assert verify(lake, date(2026, 1, 1)).head().ok is False
     ff.weaknesses(tmp_path / "w", "4.9", "2022-10-13", {1: "old"})
     ingest.update_weaknesses(lake, str(tmp_path / "w"))
     ff.exploited(tmp_path / "k", [{"cveID": "CVE-2024-0001"}])
     ingest.update_exploited(lake, str(tmp_path / "k"), date(2026, 1, 1))
+    assert set(os.listdir(shared_folder(spark))) == staged_before  # nothing is left over
     before = lake.registered_paths()
     spark.range(1).write.parquet(f"{lake.root}/unknown/x.parquet")
     assert lake.rebuild() == "rebuilt manifest with 2 batches (ignored 1 unknown batches)"

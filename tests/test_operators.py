@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from hazardbook.operators import arrays, changes, latest, presence, quality
+from hazardbook.operators import arrays, changes, latest, presence, quality, references
 from hazardbook.plans import assessments, provenance, published
 from hazardbook.plans.views import build_views
 from hazardbook.schemas import SCHEMAS, columns_of
@@ -190,3 +190,41 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "EqualTo(cve,CVE-1)" in scan
     assert "raw:string" not in scan
+
+
+@pytest.fixture
+def eager_splitting(spark):
+    """Skew handling at the size of a test."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_hot_reference_is_split(spark, hot, eager_splitting):
+    edges = hot.select(F.col("v").alias("edge"), F.col("k").alias("ref"))
+    objects = hot.select(F.col("k").alias("id"), F.col("v").alias("name"), F.col("t").alias("pos"))
+    resolved = references.resolve_ends(edges, objects, (), "id", ("name",), (("ref", "target"),), "pos")
+    rows = resolved.collect()
+    assert len(rows) == 60_000 and all(r.target_name is not None for r in rows)
+    assert len({r.target_name for r in rows if r.ref == 0}) == 1
+    assert "skew=true" in plan_of(resolved)
+
+
+def test_hot_array_item_is_split(spark, hot, eager_splitting):
+    left = hot.select(F.col("v").alias("row"), F.array(F.col("k")).alias("arr"))
+    names = latest.latest_per_key(hot, ["k"], "t").select(F.col("k").alias("item"), F.col("v").alias("name"))
+    joined = arrays.join_on_item(left, names, "arr", "item")
+    assert joined.agg(F.count("*")).head()[0] == 60_000
+    joined.write.format("noop").mode("overwrite").save()
+    rows = joined.collect()
+    assert len(rows) == 60_000
+    assert "skew=true" in plan_of(joined)
