@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.functions.times import date_in_file_name
-from hazardbook.operators.quality import table_statistics
 from hazardbook.schemas import TABLES, TableRules
 from hazardbook.sinks.lake import Lake, table_of_path
 
@@ -68,20 +67,24 @@ def storage_report(stored: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def statistics(lake: Lake) -> DataFrame:
-    """Row count and range of the order column of every table; one column is read."""
+    """Row count and range of the order column of every table that has rows. One column
+    per table is read and everything is aggregated in one pass."""
     tables = lake.tables()
-    return reduce(
+    days = reduce(
         DataFrame.unionByName,
         [
-            table_statistics(tables[name], rules.order).select(
+            tables[name].select(
                 F.lit(name).alias("table_name"),
-                "row_count",
-                F.col("min_value").cast("date").alias("min_date"),
-                F.col("max_value").cast("date").alias("max_date"),
+                F.col(rules.order).cast("date").alias("day"),
             )
             for name, rules in TABLES.items()
         ],
     )
+    return days.groupBy("table_name").agg(
+        F.count("*").alias("row_count"),
+        F.min("day").alias("min_date"),
+        F.max("day").alias("max_date"),
+    )
 
 
 def consistent(rules: TableRules) -> Column:
@@ -115,10 +118,11 @@ def verify(lake: Lake, today: date, max_age_days: int | None = None) -> DataFram
     counts = [
         "batches_in_storage", "batches_in_manifest", "stray_batches", "missing_batches",
     ]
+    names = lake.spark.createDataFrame([(name,) for name in TABLES], "table_name string")
     joined = (
-        statistics(lake)
+        names.join(statistics(lake), "table_name", "left")
         .join(storage_report(stored, registered), "table_name", "left")
-        .na.fill(0, counts)
+        .na.fill(0, [*counts, "row_count"])
     )
     ok, stale = F.lit(None), F.lit(None)
     for name, rules in TABLES.items():

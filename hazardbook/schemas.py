@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Base tables as DDL text, which readers take as it is.
@@ -76,6 +78,13 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
+    """No rows, as a relation the optimizer knows to be empty."""
+    fields = StructType.fromDDL(ddl).fields
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).select(*nulls).limit(0)
+
+
 def columns_of(table: str) -> list[str]:
     return StructType.fromDDL(SCHEMAS[table]).names
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hazardbook.lazy import LazyMap
 from hazardbook.plans.views import register_views, tables_and_views
-from hazardbook.schemas import SCHEMAS, TABLES, columns_of
+from hazardbook.schemas import SCHEMAS, TABLES, columns_of, empty_table
 from hazardbook.sinks.files import write_sorted, write_sorted_by_year
 
 MANIFEST = "table_name string, path string, message string"
@@ -64,7 +64,7 @@ class Lake:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
 
     def _generation(self) -> int | None:
         return self._generations().agg(F.max("generation")).head()[0]
@@ -111,7 +111,7 @@ class Lake:
 
     def _read(self, name: str, paths: Sequence[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+            return empty_table(self.spark, SCHEMAS[name])
         reader = self.spark.read.schema(SCHEMAS[name])
         return reader.parquet(*[f"{self.root}/{path}" for path in paths])
 
@@ -210,7 +210,7 @@ class Lake:
     def stored_files(self, folder: str = "") -> DataFrame:
         """Stored Parquet files: ``file`` and ``batch`` below the root. Only names are
         listed, contents are not read."""
-        empty = self.spark.createDataFrame([], "file string, batch string")
+        empty = empty_table(self.spark, "file string, batch string")
         try:
             listing = (
                 self.spark.read.format("binaryFile")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazardbook.operators import arrays, changes, latest, presence, quality, references
 from hazardbook.plans import assessments, provenance, published
 from hazardbook.plans.views import build_views
-from hazardbook.schemas import SCHEMAS, columns_of
+from hazardbook.schemas import SCHEMAS, columns_of, empty_table
 
 
 def plan_of(df) -> str:
@@ -131,7 +131,7 @@ def test_decision_table_is_complete(spark):
 
 
 def _empty(spark, **given):
-    tables = {name: spark.createDataFrame([], ddl) for name, ddl in SCHEMAS.items()}
+    tables = {name: empty_table(spark, ddl) for name, ddl in SCHEMAS.items()}
     return {**tables, **given}
 
 
