@@ -72,19 +72,21 @@ _staged: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar(
 )
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, split_by: str | None = None) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
     Used where several actions need the same parsed rows: the lineage is cut at a
     table that outlives lost executors, and the source is parsed only once. Inside a
-    ``staged_job`` the table is dropped when the job ends.
+    ``staged_job`` the table is dropped when the job ends. With ``split_by`` a filter
+    on that column later reads its own files only.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     scope = _staged.get()
     if scope is not None:
         scope.append((spark, path))
-    df.write.parquet(path)
+    writer = df.write.partitionBy(split_by) if split_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -76,20 +76,24 @@ def update_scores(lake: Lake, landed: str) -> list[BatchResult]:
 
 @staged_job
 def add_score_days(lake: Lake, rows: DataFrame) -> list[BatchResult]:
-    """Only the days are listed here; each is a daily file's worth of rows."""
-    staged = stage(rows)
-    if staged.isEmpty():
+    """One batch per day that is not registered yet. Only the days are listed here. The
+    new batches become visible together, after the last one is written."""
+    staged = stage(rows, split_by="date")
+    found = staged.select("date").where("date is not null").distinct().collect()
+    if not found:
         return [BatchResult("not-published-yet")]
-    days = staged.select("date").where("date is not null").distinct().collect()
-    return [
-        lake.append(
-            "epss",
-            staged.where(F.col("date") == F.lit(day)),
-            lake.batch_path("epss", day),
-            day.isoformat(),
-        )
-        for day in sorted(row.date for row in days)
-    ]
+    known = set(lake.registered_paths("epss"))
+    results, entries = [], []
+    for day in sorted(row.date for row in found):
+        path, label = lake.batch_path("epss", day), day.isoformat()
+        if path in known:
+            results.append(BatchResult("already-registered", label))
+            continue
+        count = lake.write_batch("epss", staged.where(F.col("date") == F.lit(day)), path)
+        entries.append(("epss", path, f"epss {label} ({count} records)"))
+        results.append(BatchResult("published", label, count))
+    lake.add_batches(entries)
+    return results
 
 
 @staged_job

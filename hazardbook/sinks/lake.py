@@ -99,12 +99,16 @@ class Lake:
             .parquet(f"{self._manifest_path()}/generation={generation}")
         )
 
+    def add_batches(self, entries: Sequence[tuple[str, str, str]]) -> None:
+        """Make stored batches visible, all at once: (table, path, message) each."""
+        if entries:
+            self._register(self.spark.createDataFrame(list(entries), MANIFEST))
+
     def add_batch(self, table: str, path: str, message: str) -> bool:
         """Make a stored batch visible; False when it already is."""
         if self.is_registered(path):
             return False
-        row = self.spark.createDataFrame([(table, path, message)], MANIFEST)
-        self._register(row)
+        self.add_batches([(table, path, message)])
         return True
 
     # -------------------------------------------------------------- reading
@@ -185,7 +189,7 @@ class Lake:
         entries = [
             (table, f"{folder}/year={year}", f"{table} {year} backfill") for year in years
         ]
-        self._register(self.spark.createDataFrame(entries, MANIFEST))
+        self.add_batches(entries)
         return years
 
     def _years(self, table: str) -> list[int]:

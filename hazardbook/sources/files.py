@@ -14,7 +14,8 @@ def relative_path(file_path: Column, root: str) -> Column:
 
 
 def read_documents(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """One row per file: ``path`` below the root and the whole text as ``value``."""
+    """One row per file: ``path`` below the root and the whole text as ``value``.
+    Filters on the path drop files before they are read."""
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name_glob)
@@ -26,12 +27,11 @@ def read_documents(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """One row per line: ``path`` of the file and the line as ``value``."""
+    """One row per line: ``path``, the URL of the file as it is, and the line as
+    ``value``. Filters on the path drop files before they are read."""
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name_glob)
         .text(root)
     )
-    return files.select(
-        relative_path(F.col("_metadata.file_path"), root).alias("path"), "value"
-    )
+    return files.select(F.col("_metadata.file_path").alias("path"), "value")

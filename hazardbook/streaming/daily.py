@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hazardbook.sinks.ingest import add_score_days
 from hazardbook.sinks.lake import Lake
-from hazardbook.sources.files import relative_path
 from hazardbook.sources.scores import is_score_file, score_rows
 
 
@@ -21,7 +20,7 @@ def score_stream(lake: Lake, landed: str, files_per_batch: int = 200) -> DataFra
         .option("pathGlobFilter", "epss_scores-*.csv.gz")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landed)
-        .select(relative_path(F.col("_metadata.file_path"), landed).alias("path"), "value")
+        .select(F.col("_metadata.file_path").alias("path"), "value")
     )
     return lines.where(is_score_file(F.col("path")))
 
