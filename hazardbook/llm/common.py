@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +36,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def chunks(texts: Iterable[str | None], limit: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: Iterable[str], limit: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
     """Texts in order, as (position of the first, texts) with about ``limit`` characters
     together, so that memory follows the limit or the longest text, not the batch."""
     held: list[str] = []
     size = first = 0
     for i, text in enumerate(texts):
-        text = text if isinstance(text, str) else ""
         if held and size + len(text) > limit:
             yield first, held
             held, size, first = [], 0, i
@@ -98,5 +97,32 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.diff(np.searchsorted(begin, firsts + 1))
 
 
-def integers(values: pd.Series) -> list[int | None]:
-    return [None if pd.isna(v) else int(v) for v in values]
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """The whole texts of a batch; a null counts as empty."""
+    return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def viterbi(runs: list[np.ndarray], moves: np.ndarray, opening: np.ndarray) -> list[np.ndarray]:
+    """The best labels of every run of emissions (steps x labels), given the scores of moves
+    between labels and of the first label; step t advances all runs that long."""
+    order = sorted(range(len(runs)), key=lambda i: -len(runs[i]))
+    lengths = np.array([len(runs[i]) for i in order], np.int64)
+    if not len(order):
+        return []
+    emit = np.concatenate([runs[i] for i in order])
+    firsts = np.cumsum(lengths) - lengths
+    back = np.zeros(emit.shape, np.int8)
+    value = emit[firsts] + opening
+    for t in range(1, int(lengths[0])):
+        a = np.searchsorted(-lengths, -t, side="left")
+        paths = value[:a, :, None] + moves
+        back[firsts[:a] + t] = paths.argmax(axis=1)
+        value[:a] = paths.max(axis=1) + emit[firsts[:a] + t]
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(runs)
+    for k, i in enumerate(order):
+        labels = np.zeros(lengths[k], np.int64)
+        labels[-1] = value[k].argmax()
+        for t in range(lengths[k] - 1, 0, -1):
+            labels[t - 1] = back[firsts[k] + t, labels[t]]
+        found[i] = labels
+    return found

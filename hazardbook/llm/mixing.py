@@ -105,10 +105,9 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return last.select("__source", F.col("__prefix").alias("__mark"), take.alias("__take"))
 
 
-def mix_plan(docs: DataFrame, doc_id: str, text: str, source: str,
-             weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``doc_id``, ``size`` in words, ``source_size``, ``target`` and ``copies``: how
-    often the mix takes the document."""
+def _marks(docs: DataFrame, doc_id: str, text: str, source: str, weights: tuple[int, ...],
+           cap: int) -> tuple[DataFrame, DataFrame]:
+    """Per source what it takes, and the documents' sizes and hashes."""
     sizes = stage(docs.select(
         F.col(doc_id).alias("doc_id"), source_key(source).alias("__source"),
         F.regexp_count(whole(text), F.lit(WORD)).cast("long").alias("size"),
@@ -119,9 +118,35 @@ def mix_plan(docs: DataFrame, doc_id: str, text: str, source: str,
     planned = targets.withColumn("__rounds", rounds.cast("int")).withColumn(
         "__budget", F.col("target") - (F.col("__rounds") * F.col("source_size")).cast("double")
     )
-    marks = thresholds(sizes, planned)
-    once_more = (F.col("__hash") < F.col("__mark")) | ((F.col("__hash") == F.col("__mark")) & F.col("__take"))
-    return sizes.join(planned.join(marks, "__source"), "__source").select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("__rounds") + once_more.cast("int")).alias("copies"),
-    )
+    return planned.join(thresholds(sizes, planned), "__source"), sizes
+
+
+def _copies(hash_: Column) -> Column:
+    once_more = (hash_ < F.col("__mark")) | ((hash_ == F.col("__mark")) & F.col("__take"))
+    return F.col("__rounds") + once_more.cast("int")
+
+
+def mix_plan(docs: DataFrame, doc_id: str, text: str, source: str,
+             weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """``doc_id``, ``size`` in words, ``source_size``, ``target`` and ``copies``: how
+    often the mix takes the document."""
+    marks, sizes = _marks(docs, doc_id, text, source, weights, cap)
+    return sizes.join(marks, "__source").select(
+        "doc_id", "size", "source_size", "target", _copies(F.col("__hash")).alias("copies")
+    )
+
+
+def mixed(docs: DataFrame, doc_id: str, text: str, source: str,
+          weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    Only sources' marks, one row a source, meet the documents: whether a document is in
+    follows from its source and the hash of its id.
+    """
+    marks, _ = _marks(docs, doc_id, text, source, weights, cap)
+    held = marks.select(F.col("__source").alias("__s"), "__rounds", "__mark", "__take")
+    joined = docs.join(held, source_key(source) == F.col("__s"))
+    copies = F.explode(F.sequence(F.lit(1), _copies(hash48(doc_id))))
+    return joined.where(_copies(hash48(doc_id)) > 0).select("*", copies.alias("__copy")).select(
+        *[joined[c] for c in docs.columns]
+    )

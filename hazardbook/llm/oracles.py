@@ -85,3 +85,12 @@ taken AS (
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken
 FROM sized JOIN taken USING (src, h) JOIN rounds USING (src)
 """
+
+# The transcripts are written from the table, so parsing has to give the table back.
+OP2 = """
+SELECT conv_id, floor(turn / 64)::BIGINT AS piece,
+  row_number() OVER (PARTITION BY conv_id, floor(turn / 64) ORDER BY turn) - 1 AS turn, role,
+  len(string_split(text, chr(10))) AS n_lines,
+  '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' AS rendered
+FROM conversations
+"""

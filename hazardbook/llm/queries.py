@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardbook.llm import histogram_sort, mixing, set_join, url_tree
-from hazardbook.llm.common import documents, whole
+from hazardbook.llm import (
+    edit_embedding, histogram_sort, language_spans, mixing, oracles, personal_data,
+    rule_ensemble, set_join, templates, transcripts, url_tree,
+)
+from hazardbook.llm.common import documents, held_out, whole
+from hazardbook.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+GOOD = 0.3
 
 RULES = (
     url_tree.Rule("org", "/", True),
@@ -23,6 +28,16 @@ RULES = (
 )
 
 
+def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.against_next(documents(spark, sf_dir), "doc_id", "text")
+
+
+def op2_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    cut = stage(transcripts.pieces(turns, "conv_id", "turn", "role", "text"))
+    return transcripts.parse(cut, transcripts.learn(cut))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.jaccard_components(
         documents(spark, sf_dir), "doc_id", "text", width=3, percent=90
@@ -36,7 +51,7 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(whole("text")).alias("text_crc32"),
     )
     dealt = histogram_sort.histogram_shards(
-        sized, "doc_id", F.col("size"), ["text_crc32", "size"], SHARDS
+        stage(sized), "doc_id", F.col("size"), ["text_crc32", "size"], SHARDS
     )
     return dealt.withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
@@ -48,6 +63,14 @@ def op5_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_tree.judge(pages, "url", ["page_id"], RULES)
 
 
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = rule_ensemble.scored(
+        documents(spark, sf_dir), labels, "doc_id", "text", "quality", held_out()
+    )
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf_dir), "doc_id", "text", "source")
     return plan.select(
@@ -56,6 +79,41 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_spans.learn(docs.where(~held_out()), "doc_id", "text", "lang")
+    found = language_spans.identify(docs, "doc_id", "text", model)
+    return found.withColumn("held_out", held_out())
+
+
+def op9_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return templates.contaminated(documents(spark, sf_dir), items, "doc_id", "text")
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(documents(spark, sf_dir), "doc_id", "text")
+    return found.withColumn("base_sha256", F.sha2("base", 256))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op3_jaccard_join, op4_histogram_shards, op5_url_tree, op7_mixing)
+    q.__name__: q
+    for q in (
+        op1_edit_embedding, op2_transcripts, op3_jaccard_join, op4_histogram_shards,
+        op5_url_tree, op6_rule_ensemble, op7_mixing, op8_language_spans, op9_templates,
+        op10_personal_data, pipeline,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op2_transcripts": oracles.OP2,
+    "op3_jaccard_join": oracles.OP3,
+    "op4_histogram_shards": oracles.OP4,
+    "op7_mixing": oracles.OP7,
 }

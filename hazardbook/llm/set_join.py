@@ -25,11 +25,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardbook.llm.common import U64, chunks, mix, word_hashes
+from hazardbook.llm.common import U64, chunks, mix, texts_of, word_hashes
 from hazardbook.llm.components import components
 from hazardbook.session import stage
 
@@ -117,55 +117,63 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _sets(batches: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.Series, list[np.ndarray]]]:
-    for batch in batches:
-        for first, texts in chunks(batch["text"]):
-            elements, counts = shingle_sets(texts, width)
-            ids = batch["doc_id"].iloc[first : first + len(texts)]
-            yield ids, np.split(elements, np.cumsum(counts)[:-1])
+def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    for first, texts in chunks(texts_of(batch)):
+        elements, counts = shingle_sets(texts, width)
+        yield first, np.split(elements, np.cumsum(counts)[:-1])
 
 
 def keyed_sets(docs: DataFrame, width: int) -> DataFrame:
     """Per row the size and the key of its set."""
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets in _sets(batches, width):
-            k = [set_key(s) for s in sets]
-            yield pd.DataFrame({
-                "doc_id": ids, "n": [len(s) for s in sets],
-                "k1": [x[0] for x in k], "k2": [x[1] for x in k],
-            })
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(len(s), *set_key(s)) for _, sets in _sets(batch, width) for s in sets]
+            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "k1", "k2"])
 
-    return docs.mapInPandas(keys, "doc_id long, n long, k1 long, k2 long")
+    return docs.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long")
 
 
 def signed_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``k1``, ``k2`` and the ``signatures`` of a set, once a set and task."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # no more than the task's rows
-        for _, sets in _sets(batches, width):
-            keys, signed = [], []
-            for elements in sets:
-                if len(elements) and (key := set_key(elements)) not in seen:
-                    seen.add(key)
-                    keys.append(key)
-                    signed.append(signatures(elements, percent).view(np.int64))
-            yield pd.DataFrame({
-                "k1": [k[0] for k in keys], "k2": [k[1] for k in keys], "signatures": signed,
-            })
-
-    return docs.mapInPandas(sign, "k1 long, k2 long, signatures array<long>")
+        for batch in batches:
+            for _, sets in _sets(batch, width):
+                keys, signed = [], []
+                for elements in sets:
+                    if len(elements) and (key := set_key(elements)) not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        signed.append(signatures(elements, percent).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), _lists(signed)],
+                    ["k1", "k2", "signatures"],
+                )
+
+    return docs.mapInArrow(sign, "k1 long, k2 long, signatures array<long>")
 
 
 def listed_sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id`` and its set as an array."""
 
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets in _sets(batches, width):
-            yield pd.DataFrame({"doc_id": ids, "elements": [s.view(np.int64) for s in sets]})
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, sets in _sets(batch, width):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(first, len(sets)), _lists([s.view(np.int64) for s in sets])],
+                    ["doc_id", "elements"],
+                )
+
+    return docs.mapInArrow(listed, "doc_id long, elements array<long>")
+
 
-    return docs.mapInPandas(listed, "doc_id long, elements array<long>")
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int64()))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -247,3 +255,22 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, width: int = 5,
     return keyed.join(of_set, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
     )
+
+
+def without_duplicates(docs: DataFrame, doc_id: str, text: str, width: int = 5,
+                       percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a smaller id, with all
+    their columns. Rows without an id stay; of repeated rows with one id and one text
+    all but one go."""
+    found = jaccard_components(docs, doc_id, text, width, percent)
+    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    linked = found.where("doc_id > component_id").select("doc_id")
+    apart = stage(linked.withColumn("go", F.lit(True)).union(
+        repeated.where("doc_id IS NOT NULL").withColumn("go", F.lit(False))
+    ).groupBy(F.col("doc_id").alias("__id")).agg(F.max("go").alias("__go")))
+    id_ = F.col(doc_id).cast("long")
+    kept = docs.join(apart.select("__id"), id_ == F.col("__id"), "left_anti")
+    twice = apart.where("NOT __go").select("__id")
+    if twice.isEmpty():
+        return kept
+    return kept.union(docs.join(twice, id_ == F.col("__id"), "left_semi").dropDuplicates([doc_id, text]))
