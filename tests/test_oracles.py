@@ -6,9 +6,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from hazardbook.bindings import all_oracles, all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 # Lookups of one fixed key that the smallest tables do not hold.
 MAY_BE_EMPTY = {
     "advisories_of_record", "exploits_of_record", "live_known_exploited", "technique_users",
