@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def chunks(texts: Iterable[str], limit: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: Iterable[str], limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Texts in order, as (position of the first, texts) with about ``limit`` characters
     together, so that memory follows the limit or the longest text, not the batch."""
     held: list[str] = []
@@ -70,7 +70,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(name: str, base: int, n: int) -> np.ndarray:
     held = _powers.get(name)
     if held is None or len(held) < n:
-        run = np.full(max(n, 1 << 21), base & (2**64 - 1), U64)
+        run = np.full(max(n, 1 << 20), base & (2**64 - 1), U64)
         run[0] = 1
         held = _powers[name] = np.multiply.accumulate(run)
     return held[:n]

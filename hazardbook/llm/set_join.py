@@ -11,7 +11,9 @@ lie in the same or in neighbouring bands. Candidates are verified on the sets.
 
 Equal sets are one node. A signature links its nodes to two leaders first; the rest is
 verified only between different components, so a group of copies never becomes all its
-pairs, and no link between components is left untested: components are exact.
+pairs. Of those pairs, the ones whose distance must be too large are left out first: the
+differences of the sets' counts in some cells of the domain bound it from below. No
+link between components is left untested: components are exact.
 
 Defined results: texts that are null or without words have an empty set and are linked
 with nothing; with fewer words than a shingle, the whole sequence is the one element;
@@ -66,6 +68,10 @@ def set_key(elements: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+# Cells of the domain in which elements are counted, as a power of two.
+CELL_BITS = 7
+
+
 class Bands:
     """Size bands for a threshold in percent, and the distance bound of each."""
 
@@ -124,36 +130,44 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndar
 
 
 def keyed_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row the size and the key of its set."""
+    """Per row the size and the key of its set, and its elements' counts by cell."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), *set_key(s)) for _, sets in _sets(batch, width) for s in sets]
-            columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "k1", "k2"])
+            for first, sets in _sets(batch, width):
+                keyed = [(len(s), *set_key(s)) for s in sets]
+                cells = [np.bincount((s >> U64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(first, len(sets)),
+                        *(pa.array(c, pa.int64()) for c in zip(*keyed, strict=True)),
+                        _lists([np.minimum(c, 127) for c in cells], pa.int8()),
+                    ],
+                    ["doc_id", "n", "k1", "k2", "cells"],
+                )
 
-    return docs.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long")
+    return docs.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long, cells array<byte>")
 
 
 def signed_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``k1``, ``k2`` and the ``signatures`` of a set, once a set and task."""
+    """``doc_id`` and ``signatures`` of the first row of every set and task."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # no more than the task's rows
         for batch in batches:
-            for _, sets in _sets(batch, width):
-                keys, signed = [], []
-                for elements in sets:
-                    if len(elements) and (key := set_key(elements)) not in seen:
+            ids = batch.column("doc_id").to_pylist()
+            for first, sets in _sets(batch, width):
+                signers, signed = [], []
+                for id_, elements in zip(ids[first:], sets, strict=False):
+                    if len(elements) and id_ is not None and (key := set_key(elements)) not in seen:
                         seen.add(key)
-                        keys.append(key)
+                        signers.append(id_)
                         signed.append(signatures(elements, percent).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), _lists(signed)],
-                    ["k1", "k2", "signatures"],
+                    [pa.array(signers, pa.int64()), _lists(signed)], ["doc_id", "signatures"]
                 )
 
-    return docs.mapInArrow(sign, "k1 long, k2 long, signatures array<long>")
+    return docs.mapInArrow(sign, "doc_id long, signatures array<long>")
 
 
 def listed_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -170,10 +184,10 @@ def listed_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(listed, "doc_id long, elements array<long>")
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def _lists(arrays: list[np.ndarray], kind: pa.DataType | None = None) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int64()))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int8) if kind else values))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -189,34 +203,52 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 
 def _near_sizes(na: str, nb: str, percent: int) -> Column:
-    return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    return F.coalesce(100 * F.least(na, nb) >= percent * F.greatest(na, nb), F.lit(True))
+
+
+def _near_counts(percent: int) -> Column:
+    """Whether the counts of ``cells`` and ``cells_b`` allow the threshold; unknown ones
+    do."""
+    apart = F.aggregate(
+        F.zip_with("cells", "cells_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
+        F.lit(0), lambda n, x: n + x,
+    )
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("size") + F.col("size_b"))
+    return F.coalesce(near, F.lit(True))
 
 
-def _led(members: DataFrame, percent: int) -> DataFrame:
-    """Every member of a signature with the signature's first and last member."""
+def _led(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Every member of a signature with the signature's first and last member, where
+    they may be near."""
     of = Window.partitionBy("signature")
     who = F.struct("node", "size")
     ends = members.select("node", "size", F.min(who).over(of).alias("low"), F.max(who).over(of).alias("high"))
     led = ends.select("node", "size", F.explode(F.array("low", "high")).alias("leader"))
-    apart = led.where(F.col("node") != F.col("leader.node")).where(
-        _near_sizes("size", "leader.size", percent)
-    )
-    return apart.select(
+    pairs = led.where(F.col("node") != F.col("leader.node")).select(
         F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
-    ).distinct()
+    ).distinct()
+    left = cells.select(F.col("node").alias("a"), "size", "cells")
+    right = cells.select(
+        F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("cells").alias("cells_b")
+    )
+    return pairs.join(left, "a").join(right, "b").where(
+        _near_sizes("size", "size_b", percent) & _near_counts(percent)
+    ).select("a", "b")
 
 
-def _across(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a signature and lie in different components."""
+def _across(members: DataFrame, labels: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a signature, lie in different components, and may be near."""
     of = Window.partitionBy("signature")
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = stage(
         labelled.withColumns({"low": F.min("label").over(of), "high": F.max("label").over(of)})
-        .where("low != high").drop("low", "high")
+        .where("low != high").drop("low", "high").join(cells.select("node", "cells"), "node")
     )
-    other = mixed.select("signature", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")])
-    return mixed.join(other, "signature").where("label < label_b").where(
-        _near_sizes("size", "size_b", percent)
+    other = mixed.select("signature", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label", "cells")])
+    return mixed.alias("m").join(
+        other.alias("o"),
+        (F.col("m.signature") == F.col("o.signature")) & (F.col("label") < F.col("label_b"))
+        & _near_sizes("size", "size_b", percent) & _near_counts(percent),
     ).select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
@@ -226,28 +258,34 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, width: int = 5,
     links, its own included) of every row."""
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed = stage(keyed_sets(whole, width))
+    linkable = keyed.where("n > 0 AND doc_id IS NOT NULL")
     nodes = stage(
-        keyed.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(
-            F.min("doc_id").alias("node"), F.first("n").alias("size")
-        )
-    )
-    signed = signed_sets(whole, width, percent).select(
-        "k1", "k2", F.explode("signatures").alias("signature")
+        linkable.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n").alias("size"))
     )
+    node_of = stage(
+        linkable.join(nodes, ["k1", "k2"]).select("doc_id", "node", "size", "cells")
+    )
+    signed = signed_sets(whole, width, percent).select("doc_id", F.explode("signatures").alias("signature"))
     of = Window.partitionBy("signature")
-    set_ = F.struct("k1", "k2")
-    shared = signed.withColumns({"low": F.min(set_).over(of), "high": F.max(set_).over(of)})
+    shared = signed.withColumns({"low": F.min("doc_id").over(of), "high": F.max("doc_id").over(of)})
     members = stage(
-        shared.where("low != high").select("signature", "k1", "k2").distinct()
-        .join(nodes, ["k1", "k2"]).select("signature", "node", "size")
+        shared.where("low != high").join(node_of, "doc_id").select("signature", "node", "size").distinct()
+    )
+    # An id with several texts is a node with several sets: its counts say nothing.
+    single = F.min("cells") == F.max("cells")
+    cells = stage(
+        node_of.where("doc_id = node").groupBy("node").agg(
+            F.when(single & (F.min("size") == F.max("size")), F.min("size")).alias("size"), F.when(single, F.min("cells")).alias("cells")
+        )
     )
-    tried = stage(_led(members, percent))
+    tried = stage(_led(members, cells, percent))
     links = stage(_verified(tried, whole, width, percent))
     labels = components(links)
-    rest = stage(_across(members, labels, percent).join(tried, ["a", "b"], "left_anti"))
+    rest = stage(_across(members, labels, cells, percent).join(tried, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        more = _verified(rest, whole, width, percent)
-        labels = components(links.union(more))
+        more = stage(_verified(rest, whole, width, percent))
+        if not more.isEmpty():
+            labels = components(links.union(more))
     of_set = nodes.join(labels, "node", "left").select(
         "k1", "k2", F.coalesce("label", "node").alias("component")
     )
