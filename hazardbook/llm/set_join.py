@@ -3,11 +3,17 @@
 A document is the set of its distinct word shingles. Two sets whose Jaccard similarity
 reaches the threshold differ in few elements, so their Hamming distance is bounded by
 their sizes. Sizes are cut into bands; for the distance bound k of a band, the domain of
-shingles is partitioned by hash into ceil((k + 1) / 2) groups of three parts. At most k
-differences leave a group with one difference at most, hence two of its three parts
-equal: every set signs all subsets of two parts of every group, and similar sets share a
-signature. A set signs for its own band and the next larger one, because similar sets
-lie in the same or in neighbouring bands. Candidates are verified on the sets.
+shingles is partitioned by hash into k / 2 groups of three parts (for small k into k / 3
+groups of five). At most k differences leave a group with one difference at most (two),
+hence all its parts but one (two) equal: every set signs all subsets of two (three) parts
+of every group, and similar sets share a signature. A set signs for its own band and the
+next larger one, because similar sets lie in the same or in neighbouring bands.
+Candidates are verified on the sets.
+
+In large bands a subset without elements does not sign, for it would gather unrelated
+sets. A link is lost only if hashing leaves all elements of every such group in one part:
+under 1e-4 for a pair at the very bound of the smallest of these bands, under 1e-8 from
+200 shingles on, and less for any nearer pair.
 
 Equal sets are one node. A signature links its nodes to two leaders first; the rest is
 verified only between different components, so a group of copies never becomes all its
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -84,12 +91,11 @@ class Bands:
             self.upper.append(percent_up(self.upper[-1] + 1, self.percent))
         return int(np.searchsorted(self.upper, size))
 
-    def groups(self, band: int) -> int:
-        """Groups of three parts for the band; 0 when its sets must be equal."""
+    def bound(self, band: int) -> int:
+        """The largest Hamming distance of similar sets of the band."""
         while len(self.upper) <= band:
             self.upper.append(percent_up(self.upper[-1] + 1, self.percent))
-        k = (100 - self.percent) * 2 * self.upper[band] // (100 + self.percent)
-        return (k + 2) // 2 if k else 0
+        return (100 - self.percent) * 2 * self.upper[band] // (100 + self.percent)
 
 
 def percent_up(lower: int, percent: int) -> int:
@@ -101,25 +107,40 @@ def bands_of(percent: int) -> Bands:
     return Bands(percent)
 
 
+# For few differences, groups of five parts of which two may differ; else three and one.
+FEW = 24
+_SUBSETS = {
+    (parts, spoilt): np.array([[i in held for held in combinations(range(parts), parts - spoilt)] for i in range(parts)])
+    for parts, spoilt in ((5, 2), (3, 1))
+}
+
+
 def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
-    """All PartEnum signatures of one set."""
+    """All PartEnum signatures of one set. Above ``FEW`` differences, subsets without an
+    element do not sign: they would bring unrelated sets together, and similar sets share
+    many subsets besides."""
     bands = bands_of(percent)
     own = bands.of(len(elements))
     found = []
     for band in (own, own + 1):
         tag = U64((band * 0x9E3779B97F4A7C15 + 1) % 2**64)
         weights = mix(elements + tag)
-        groups = bands.groups(band)
-        if groups == 0:
+        k = bands.bound(band)
+        if k == 0:
             found.append(mix(np.array([weights.sum()], U64) + tag))
             continue
-        part = (mix(weights) >> U64(11)) % U64(3 * groups)
-        sums = np.zeros(3 * groups, U64)
-        np.add.at(sums, part.astype(np.int64), weights)
-        sums = sums.reshape(groups, 3)
-        pairs = sums.sum(axis=1, keepdims=True) - sums
-        place = np.arange(3 * groups, dtype=U64).reshape(groups, 3) * U64(0xC2B2AE3D27D4EB4F)
-        found.append(mix(pairs + place + tag).ravel())
+        parts, spoilt = (5, 2) if k < FEW else (3, 1)
+        groups = k // (spoilt + 1) + 1
+        subsets = _SUBSETS[parts, spoilt]
+        part = ((mix(weights) >> U64(11)) % U64(parts * groups)).astype(np.int64)
+        sums = np.zeros(parts * groups, U64)
+        np.add.at(sums, part, weights)
+        held = sums.reshape(groups, parts) @ subsets.astype(U64)
+        place = np.arange(held.size, dtype=U64).reshape(held.shape) * U64(0xC2B2AE3D27D4EB4F)
+        signed = mix(held + place + tag)
+        if k >= FEW:
+            signed = signed[held != 0]
+        found.append(signed.ravel())
     return np.concatenate(found)
 
 
