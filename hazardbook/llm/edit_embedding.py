@@ -33,7 +33,7 @@ from hazardbook.session import stage
 SLOTS = 64
 READ = 3  # characters read at a sampled step
 PERIOD = 8192
-BANDS = 16
+BANDS = 32
 
 # (step, symbol) -> move on or stay; symbol 0 ends a text and holds the walk.
 _MOVES = (mix(np.arange(PERIOD * 256, dtype=U64) + U64(0x632BE59BD9B4E019)) >> U64(63)).astype(np.uint8).reshape(PERIOD, 256)
@@ -200,7 +200,8 @@ def near_links(prints: DataFrame, least: float = 0.7, bands: int = BANDS) -> Dat
     """Links (``a`` < ``b``, ``likeness``) between fingerprints that share a band and
     reach the likeness. ``prints`` has ``doc_id`` and ``fingerprint``.
 
-    Equal fingerprints are one node, named by its smallest id. In a band each node is
+    Equal fingerprints are one node, named by its smallest id, to which its other ids are
+    linked. In a band each node is
     verified against the band's first node; those that fail are led by the first of the
     rest in the next round, until none is left, so a band of m nodes needs links, not
     pairs. Every node of a cluster is linked to its leader.
@@ -213,7 +214,9 @@ def near_links(prints: DataFrame, least: float = 0.7, bands: int = BANDS) -> Dat
     )
     rest = nodes.select("node", "fingerprint", F.explode(keys).alias("band"))
     of = Window.partitionBy("band")
-    found: DataFrame | None = None
+    found = prints.join(nodes, "fingerprint").where("doc_id != node").select(
+        F.col("node").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("likeness")
+    )
     while True:
         led = rest.withColumn("leader", F.min(F.struct("node", "fingerprint")).over(of)).where(
             F.col("node") != F.col("leader.node")
@@ -226,7 +229,7 @@ def near_links(prints: DataFrame, least: float = 0.7, bands: int = BANDS) -> Dat
         links = told.where(F.col("likeness") >= least).select(
             F.col("leader.node").alias("a"), F.col("node").alias("b"), "likeness"
         )
-        found = links if found is None else found.union(links)
+        found = found.union(links)
         rest = told.where(F.col("likeness") < least).select("node", "fingerprint", "band")
         if rest.isEmpty():
             return found.distinct()

@@ -245,7 +245,8 @@ def _led(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     who = F.struct("node", "size")
     ends = members.select("node", "size", F.min(who).over(of).alias("low"), F.max(who).over(of).alias("high"))
     led = ends.select("node", "size", F.explode(F.array("low", "high")).alias("leader"))
-    pairs = led.where(F.col("node") != F.col("leader.node")).select(
+    near = (F.col("node") != F.col("leader.node")) & _near_sizes("size", "leader.size", percent)
+    pairs = led.where(near).select(
         F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
     ).distinct()
     left = cells.select(F.col("node").alias("a"), "size", "cells")
