@@ -2,15 +2,19 @@
 
 Texts become templates: numbers, names and numbers with units are replaced by typed
 placeholders, all other tokens are lower-cased. Windows of template tokens are joined by
-hash between benchmark items and documents. Along one alignment of item and document the
-values in the placeholders must correspond one to one; alignments where they do not are
-coincidences and are left out. A document holds an item when the consistent windows cover
-enough of it; it does so re-parameterised when some value differs.
+hash between benchmark items and documents. Along one alignment of item and document a
+value of the item must always become the same value of the document; two values may
+become equal. A document holds an item when the windows of such alignments cover enough
+of it, or when they run over ``RUN`` tokens without a gap, whatever share of the item
+that is. Where a value becomes two, the windows that contradict the more frequent
+reading are dropped; the others count only by themselves and must be as many as
+``FIRM`` tokens in a row have. The copy is re-parameterised when some value differs.
 
 Tokens are runs of ASCII letters, digits and all non-ASCII characters; a point or comma
 between digits belongs to the number. A name is a capitalised token that is neither in
 capitals throughout nor first in its sentence or line; neighbouring names are one. A
-window with few literal tokens keeps its values, because its template says little.
+window with fewer than ``LITERAL`` literal tokens keeps its values, because its template
+says little; so an item of a few tokens is found word for word only.
 
 Defined results: null and empty texts match nothing, nor do items without tokens; items
 shorter than a window are one window of their own length; rows that share an id are told
@@ -19,6 +23,7 @@ apart by their text, repeated rows are one; an empty side gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +36,9 @@ from hazardbook.session import stage
 
 WINDOW = 8
 COVER = 0.5
+LITERAL = 4
+RUN = 13
+FIRM = 20
 FILTER_BITS = 24
 
 # Units that follow a number.
@@ -100,7 +108,7 @@ class Template:
             literal = mix(literal * U64(5) + self.value[i : i + n])
             slots += self.slot[i : i + n]
         inside = np.flatnonzero(self.of[:n] == self.of[width - 1 : width - 1 + n])
-        hashed = np.where(2 * slots > width, literal, template)
+        hashed = np.where(width - slots < LITERAL, literal, template)
         return inside, self.of[inside], hashed[inside]
 
     def slots(self, first: int, width: int) -> list[int]:
@@ -160,6 +168,25 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return bitmap.view(U64)
 
 
+def _agreeing(hits: pa.Array) -> pa.Array:
+    """The places of an alignment's windows whose values all have the most frequent
+    counterpart, the smaller one of equally frequent ones; null for null."""
+    found = []
+    for windows in hits.to_pylist():
+        if windows is None:
+            found.append(None)
+            continue
+        seen = Counter(p for w in windows for p in zip(w["item_slots"], w["doc_slots"], strict=True))
+        best: dict[int, int] = {}
+        for (item, doc), _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])):
+            best.setdefault(item, doc)
+        found.append(sorted(
+            w["place"] for w in windows
+            if all(best[i] == d for i, d in zip(w["item_slots"], w["doc_slots"], strict=True))
+        ))
+    return pa.array(found, pa.list_(pa.int64()))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str = "item_id",
                  item_text: str = "text", width: int = WINDOW, cover: float = COVER) -> DataFrame:
     """``doc_id``, ``text_hash``, ``item_id``, the ``windows`` of the item, how many are
@@ -199,22 +226,32 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     # Groups below hold the windows of one item in one document at one alignment: no more
     # than the item has, however often documents or items repeat.
     shift = (F.col("doc_pos") - F.col("item_pos")).alias("shift")
-    aligned = hits.join(windows, ["width", "hash"]).groupBy("doc_id", "text_hash", "item_id", "windows", shift).agg(
-        F.collect_set("item_pos").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "doc_slots")))).alias("values"),
-    )
-    of_item, of_doc = F.array_distinct("values.item_slots"), F.array_distinct("values.doc_slots")
-    one_to_one = (F.size(of_item) == F.size("values")) & (F.size(of_doc) == F.size("values"))
-    differs = F.exists("values", lambda v: v["item_slots"] != v["doc_slots"])
-    placed = aligned.where(one_to_one).select(
-        "doc_id", "text_hash", "item_id", "windows", F.explode("places").alias("place"), differs.alias("differs")
+    aligned = hits.join(windows, ["width", "hash"]).groupBy(
+        "doc_id", "text_hash", "item_id", "windows", "width", shift
+    ).agg(F.collect_set(F.struct(F.col("item_pos").alias("place"), "item_slots", "doc_slots")).alias("hits"))
+    pairs = F.flatten(F.transform("hits", lambda h: F.arrays_zip(h["item_slots"], h["doc_slots"])))
+    values = aligned.withColumn("values", F.array_distinct(pairs))
+    clear = F.size(F.array_distinct("values.item_slots")) == F.size("values")
+    sure = FIRM - F.col("width") + 1
+    told = values.withColumn("clear", clear).select(
+        "doc_id", "text_hash", "item_id", "windows", "width", "clear",
+        F.exists("values", lambda v: v["item_slots"] != v["doc_slots"]).alias("differs"),
+        F.when(F.col("clear"), F.array_sort("hits.place")).otherwise(
+            F.arrow_udf(_agreeing, "array<long>")(F.when(~F.col("clear") & (F.size("hits") >= sure), F.col("hits")))
+        ).alias("places"),
+    )
+    step = F.greatest(RUN - F.col("width") + 1, F.lit(1)).cast("int")
+    ahead = F.transform("places", lambda p, i: F.try_element_at("places", i + step) - p == step - 1)
+    long = F.when(F.col("clear"), F.coalesce(F.exists(ahead, lambda x: x), F.lit(False))).otherwise(True)
+    placed = told.where(F.col("clear") | (F.size("places") >= sure)).select(
+        "doc_id", "text_hash", "item_id", "windows", long.alias("long"), F.explode("places").alias("place"), "differs"
     )
     found = placed.groupBy("doc_id", "text_hash", "item_id", "windows", "place").agg(
-        F.min("differs").alias("differs")
+        F.min("differs").alias("differs"), F.max("long").alias("long")
     ).groupBy("doc_id", "text_hash", "item_id", "windows").agg(
-        F.count("*").alias("matched"), F.max("differs").alias("reparameterised")
+        F.count("*").alias("matched"), F.max("differs").alias("reparameterised"), F.max("long").alias("long")
     )
-    return found.where(F.col("matched") >= cover * F.col("windows"))
+    return found.where(F.col("long") | (F.col("matched") >= cover * F.col("windows"))).drop("long")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, doc_id: str, text: str, **how: object) -> DataFrame:

@@ -205,6 +205,20 @@ def test_templates_find_copies_and_new_parameters(spark, docs_of):
     assert templates.contaminated(docs_of(rows), items.where("false"), "doc_id", "text").count() == 0
 
 
+def test_templates_find_changed_and_partial_copies(spark, docs_of):
+    rng = random.Random(9)
+    plain = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('klmnp')}{i:x}".translate(str.maketrans("0123456789", "qrstuvwxyz")) for i in range(500)]
+    long, huge = " ".join(plain[:59]), " ".join(plain)
+    repeated = " ".join([*plain[:10], "12", *plain[10:18], "12", *plain[18:28]])
+    two = " ".join([*plain[200:206], "5", *plain[206:212], "7", *plain[212:218]])
+    items = spark.createDataFrame([(1, long), (2, huge), (3, repeated), (4, two), (5, "add 5")], "item_id long, text string")
+    rows = [(1, "so " + " ".join(plain[20:45]) + " on"), (2, "so " + " ".join(plain[250:450]) + " on"), (3, repeated[::-1].replace("21", "77", 1)[::-1]),
+            (4, two.replace("5", "4").replace("7", "4")), (5, "we add 6 of them"), (6, "we add 5 of them"), (7, " ".join(plain[20:30]))]
+    found = templates.contaminated(docs_of(rows), items, "doc_id", "text").collect()
+    got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in found}
+    assert got == {(1, 1): False, (1, 2): False, (2, 2): False, (3, 3): True, (4, 4): True, (6, 5): False}
+
+
 # op1
 
 
