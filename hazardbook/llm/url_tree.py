@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.session import stage
@@ -29,6 +29,8 @@ DEPTH = 4
 LEAST_SHARE = 0.02
 # Siblings whose rates differ by fewer standard errors are one branch.
 MERGE_Z = 2.0
+# Rates are merged by bins; a bin ends at REJECT_ABOVE, so none holds both verdicts.
+BINS = 64
 # Labels that the next wider rate counts for.
 PRIOR = 4.0
 REJECT_ABOVE = 0.5
@@ -106,13 +108,42 @@ def templates(shapes: DataFrame) -> DataFrame:
 
 
 def merged(rated: DataFrame) -> DataFrame:
-    """Sibling templates chained by rates that lie within chance of the next one; a
-    parent has at most 1 / LEAST_SHARE branches, so the windows stay small."""
-    family = Window.partitionBy("host", "family").orderBy("rate", "template")
-    gap = F.col("rate") - F.lag("rate").over(family)
-    error = F.sqrt(F.col("variance") + F.lag("variance").over(family))
-    starts = rated.withColumn("starts", F.when(gap > MERGE_Z * error, 1).otherwise(0))
-    return starts.withColumn("branch", F.sum("starts").over(family))
+    """Sibling templates with a ``branch``: in the order of their rates, each is held
+    against the pooled rate of the branch so far, and begins the next branch if it lies
+    beyond chance. Templates whose rates share one of ``BINS`` bins are taken together,
+    so a family is a row of that length, however many templates it has. A template
+    without labels has no branch; it neither joins others nor links them."""
+    binned = rated.withColumn("bin", F.when(F.col("labelled") > 0, F.ceil(F.col("rate") * BINS)))
+    bins = binned.where("bin IS NOT NULL").groupBy("host", "family", "bin").agg(
+        F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"),
+        F.sum("prior").alias("prior"), F.count("*").alias("k"),
+    )
+
+    def rate(x: Column) -> Column:
+        return (x["blocked"] + PRIOR * x["prior"] / x["k"]) / (x["labelled"] + PRIOR)
+
+    def variance(x: Column) -> Column:
+        return rate(x) * (1 - rate(x)) / (x["labelled"] + PRIOR)
+
+    def take(held: Column, x: Column) -> Column:
+        apart = rate(x) - rate(held) > MERGE_Z * F.sqrt(variance(x) + variance(held))
+        starts = (F.size(held["told"]) == 0) | apart
+        pooled = [
+            F.when(starts, x[c]).otherwise(held[c] + x[c]).alias(c) for c in ("labelled", "blocked", "prior", "k")
+        ]
+        branch = F.when(starts, x["bin"]).otherwise(held["branch"])
+        told = F.concat(held["told"], F.array(F.struct(x["bin"].alias("bin"), branch.alias("branch"))))
+        return F.struct(*pooled, branch.alias("branch"), told.alias("told"))
+
+    none = F.expr(
+        "named_struct('labelled', 0L, 'blocked', 0L, 'prior', 0D, 'k', 1L, 'branch', 0L,"
+        " 'told', CAST(array() AS array<struct<bin: bigint, branch: bigint>>))"
+    )
+    row = F.array_sort(F.collect_list(F.struct("bin", "labelled", "blocked", "prior", "k")))
+    told = bins.groupBy("host", "family").agg(row.alias("bins")).select(
+        "host", "family", F.explode(F.aggregate("bins", none, take)["told"]).alias("told")
+    ).select("host", "family", "told.bin", "told.branch")
+    return binned.join(told, ["host", "family", "bin"], "left").drop("bin")
 
 
 def judge(pages: DataFrame, url: str, keep: list[str], rules: tuple[Rule, ...]) -> DataFrame:
@@ -141,14 +172,16 @@ def judge(pages: DataFrame, url: str, keep: list[str], rules: tuple[Rule, ...])
     )
     rated = counted.join(wide.select("template", "prior"), "template").withColumn(
         "rate", (F.col("blocked") + PRIOR * F.col("prior")) / (F.col("labelled") + PRIOR)
-    ).withColumn("variance", F.col("rate") * (1 - F.col("rate")) / (F.col("labelled") + PRIOR)).withColumn(
+    ).withColumn(
         "family", F.regexp_replace("template", r"[^/*]+((?:/\*)*/?)$", "?$1")
     )
     branches = merged(rated)
-    purity = branches.groupBy("host", "family", "branch").agg(
+    purity = branches.where("branch IS NOT NULL").groupBy("host", "family", "branch").agg(
         ((F.sum("blocked") + PRIOR * F.avg("prior")) / (F.sum("labelled") + PRIOR)).alias("purity")
     )
-    scored = branches.join(purity, ["host", "family", "branch"]).select("host", "template", "purity")
+    scored = branches.join(purity, ["host", "family", "branch"], "left").select(
+        "host", "template", F.coalesce("purity", "prior").alias("purity")
+    )
     by_shape = tree.select("host", "shape", "template").join(scored, ["host", "template"])
     by_rule = F.when(F.col("rule").isin(allowed), "allow").when(F.col("rule").isNotNull(), "block")
     by_template = F.when(F.col("purity") > REJECT_ABOVE, "block").otherwise("allow")

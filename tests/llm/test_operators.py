@@ -123,6 +123,14 @@ def test_templates_learn_from_labels(spark):
     assert verdicts == {("s.net", "/de/*"): "block", ("s.net", "/en/*"): "allow"}
 
 
+def test_templates_without_labels_link_no_others(spark):
+    rows = [(i, f"http://s{i % 3}.com/de/{i}") for i in range(60)] + [(60 + i, f"http://s.net/{x}/{i}") for i in range(5) for x in ("de", "en", "blog")]
+    rows += [(200 + i, f"http://q.org/en/a{i}") for i in range(60)]
+    got = url_tree.judge(spark.createDataFrame(rows, "page_id long, url string"), "url", ["page_id"], RULES).collect()
+    purity = {r["template"]: r["purity"] for r in got if r["host"] == "s.net"}
+    assert purity["/de/*"] > 0.9 and purity["/en/*"] < 0.1 and 0.4 < purity["/blog/*"] < 0.6
+
+
 # op7
 
 
