@@ -1,7 +1,7 @@
 """URL filter over a path-template tree.
 
 The paths of every host form a tree of segments. Segments with a digit are variable;
-so is a branch that holds too small a share of its parent's pages. Variable segments
+so is a branch of too few pages for its own rate. Variable segments
 become wildcards, which leaves templates such as ``/fr/*``. Sibling templates, which
 differ in their last fixed segment, are merged when their labelled rates do not differ
 by more than chance. A template is rejected when its smoothed share of blocked labels
@@ -9,13 +9,13 @@ exceeds a half; smoothing leans on the same template over all hosts, and that on
 share over all labels. The labels are the pages that a given rule decides.
 
 Defined results: a null url, or one without ``://``, has empty host and path; the root
-path is the template ``/``; segments beyond ``DEPTH`` are one wildcard; an empty table
-gives no rows; with no labels at all nothing is rejected.
+path is the template ``/``; paths are followed to their end; an empty table gives no rows; with no labels at all nothing is rejected.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 
 from hazardbook.session import stage
 
-DEPTH = 4
-# A branch with fewer of its parent's pages is variable. It bounds the branches of a
-# parent, and with them the templates that may be merged, by its inverse.
-LEAST_SHARE = 0.02
+# A branch with fewer pages than the prior counts for is variable, however many pages
+# or branches its parent has.
+LEAST_PAGES = 4
 # Siblings whose rates differ by fewer standard errors are one branch.
 MERGE_Z = 2.0
 # Rates are merged by bins; a bin ends at REJECT_ABOVE, so none holds both verdicts.
@@ -71,12 +70,9 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def shape_of(path: Column) -> Column:
-    """The path's first ``DEPTH`` segments, those with a digit as ``*``; what follows
-    them is one more ``*``."""
+    """The path's segments, those with a digit as ``*``."""
     segments = F.split(F.regexp_replace(path, r"^/", ""), "/")
-    typed = F.transform(F.slice(segments, 1, DEPTH), lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
-    tail = F.when(F.size(segments) > DEPTH, F.array(F.lit("*"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(typed, tail)
+    return F.transform(segments, lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
 
 
 def _count(n: str) -> Column:
@@ -84,27 +80,38 @@ def _count(n: str) -> Column:
 
 
 def templates(shapes: DataFrame) -> DataFrame:
-    """(host, shape) with its ``template``: level by level, branches below the least
-    share of their parent become wildcards. A level is written before the next one
-    reads it, because each is used three times."""
-    tree = stage(shapes.withColumn("template", F.lit("")))
-    for depth in range(DEPTH + 1):
-        step = tree.withColumn("segment", F.try_element_at("shape", F.lit(depth + 1)))
-        children = step.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(_count("n"))
-        parents = children.groupBy("host", "template").agg(F.sum("n").alias("all"))
-        kept = children.join(parents, ["host", "template"]).where(
-            F.col("n") >= LEAST_SHARE * F.col("all")
+    """(host, shape) with its ``template``: level by level, branches of too few pages
+    become wildcards. A level is written before the next one reads it. A shape is done
+    when it ends, when too few pages share its template for any further branch, or when
+    it is the only one there; so the levels end with the last parent that has a choice."""
+    step, done, depth = stage(shapes.withColumn("template", F.lit(""))), [], 0
+    while True:
+        here = step.withColumn("segment", F.element_at("shape", depth + 1))
+        kept = here.groupBy("host", "template", "segment").agg(_count("n")).where(
+            (F.col("n") >= LEAST_PAGES) | (F.col("segment") == "")
         ).select("host", "template", "segment", F.lit(True).alias("kept"))
         branch = F.when(F.col("kept"), F.col("segment")).otherwise("*")
-        tree = stage(
-            step.join(kept, ["host", "template", "segment"], "left").withColumn(
+        grown = here.join(kept, ["host", "template", "segment"], "left").withColumn(
+            "template", F.concat("template", F.lit("/"), branch)
+        ).drop("segment", "kept").withColumn("rest", F.slice("shape", depth + 2, F.greatest(F.size("shape"), F.lit(1))))
+        parents = grown.where(F.size("rest") > 0).groupBy("host", "template").agg(
+            F.sum("n").alias("all"), F.count("*").alias("shapes")
+        )
+        few, ends = F.col("all") < LEAST_PAGES, F.size("rest") == 0
+        wild = F.transform("rest", lambda x: F.when(few & (x != ""), "*").otherwise(x))
+        goes_on = ~ends & ~few & (F.col("shapes") > 1)
+        level = stage(
+            grown.join(parents, ["host", "template"], "left").withColumn("open", goes_on).withColumn(
                 "template",
-                F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), branch)
+                F.when(ends | F.col("open"), F.col("template")).otherwise(
+                    F.concat("template", F.lit("/"), F.array_join(wild, "/"))
                 ),
-            ).drop("segment", "kept")
+            ).drop("rest", "all", "shapes")
         )
-    return tree
+        done.append(level.where("NOT open").drop("open"))
+        step, depth = level.where("open").drop("open"), depth + 1
+        if step.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def merged(rated: DataFrame) -> DataFrame:

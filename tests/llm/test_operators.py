@@ -131,6 +131,22 @@ def test_templates_without_labels_link_no_others(spark):
     assert purity["/de/*"] > 0.9 and purity["/en/*"] < 0.1 and 0.4 < purity["/blog/*"] < 0.6
 
 
+def test_templates_of_many_equal_sections_slugs_and_deep_paths(spark):
+    letters = [a + b for a in "bcdfghkl" for b in "abcdefgh"][:60]
+    urls = [f"http://x.net/{s}/{i}" for s in letters for i in range(5)] + [f"http://x.net/de/{i}" for i in range(5)]
+    urls += [f"http://s{i % 3}.com/de/{i}" for i in range(60)] + [f"http://q.org/en/a{i}" for i in range(60)]
+    urls += [f"http://y.net/blog/{s}" for s in letters[:20]]
+    urls += [f"http://z.net/a/b/c/d/e/{s}/{i}" for s in ("f", "g") for i in range(5)] + ["http://z.net/a/b/c/d/e/h/i/j"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_tree.judge(pages, "url", ["page_id"], RULES).collect()
+    assert len(got) == len(urls)
+    verdicts = {(r["host"], r["template"]): r["verdict"] for r in got}
+    assert verdicts["x.net", "/de/*"] == "block"
+    assert {t for h, t in verdicts if h == "x.net"} == {f"/{s}/*" for s in [*letters, "de"]}
+    assert {t for h, t in verdicts if h == "y.net"} == {"/blog/*"}
+    assert {t for h, t in verdicts if h == "z.net"} == {"/a/b/c/d/e/f/*", "/a/b/c/d/e/g/*", "/a/b/c/d/e/*/*/*"}
+
+
 # op7
 
 
