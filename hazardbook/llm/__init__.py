@@ -12,6 +12,9 @@ Nothing else in the library imports this subpackage. Each module holds one opera
 ``language_spans``   language identification by Viterbi over words
 ``templates``        benchmark decontamination by canonical templates
 ``personal_data``    personal data by patterns and a conditional random field
+``term_scan``        ranked lexical search by an Aho-Corasick scan
+``ring_simhash``     SimHash near-duplicates by pigeonring filtering
+``merkle_manifest``  Merkle manifest by checkpoint and recompute
 
 ``queries`` binds them to the given tables.
 """

@@ -94,3 +94,93 @@ SELECT conv_id, floor(turn / 64)::BIGINT AS piece,
   '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' AS rendered
 FROM conversations
 """
+
+OP11 = r"""
+WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), held AS (SELECT doc_id, len(w)::BIGINT AS n FROM tokens WHERE len(w) > 0),
+whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM held),
+counts AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM tokens) GROUP BY ALL),
+wanted AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, whole GROUP BY term, docs
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN held USING (doc_id), whole
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+# Trees level by level, then every leaf climbs to its subroot and on to the root.
+OP13 = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text, concat(
+    coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'),
+    coalesce(octet_length(encode(source)) || ':' || source, '-'),
+    coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+    coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-')) AS head,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      list_filter(string_split(regexp_replace(hex(encode(doc_id::VARCHAR)), '(.)(.)', '\\2\\1', 'g'), ''), lambda d: d <> ''),
+      lambda d: instr('0123456789ABCDEF', d) - 1)),
+      lambda c, x: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+        3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][
+        (xor(c, x) & 15) + 1])) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' ||
+      CASE WHEN xor(crc, 4294967295) % 5 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS shown
+  FROM fields
+), lower AS (
+  SELECT 0 AS level, tree, idx, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 15) // 16
+  FROM lower WHERE n > 1 GROUP BY level, tree, idx // 16
+), subroots AS (
+  SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n
+  FROM lower WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, idx, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 15) // 16
+  FROM upper WHERE n > 1 GROUP BY level, idx // 16
+), lower_runs AS (
+  SELECT level, tree, idx // 16 AS run, list(digest ORDER BY idx) AS run_nodes FROM lower WHERE n > 1 GROUP BY ALL
+), upper_runs AS (
+  SELECT level, idx // 16 AS run, list(digest ORDER BY idx) AS run_nodes FROM upper WHERE n > 1 GROUP BY ALL
+), climb AS (
+  SELECT 0 AS level, doc_id, tree, idx, shown AS folded, '' AS proof, n FROM leaves
+  UNION ALL
+  SELECT c.level + 1, doc_id, c.tree, idx // 16,
+    sha256(array_to_string(run_nodes[:idx % 16], '') || folded || array_to_string(run_nodes[idx % 16 + 2:], '')),
+    proof || array_to_string(run_nodes[:idx % 16], '') || array_to_string(run_nodes[idx % 16 + 2:], ''), (n + 15) // 16
+  FROM climb c JOIN lower_runs r ON r.level = c.level AND r.tree = c.tree AND r.run = c.idx // 16
+  WHERE n > 1
+), climb_on AS (
+  SELECT 0 AS level, doc_id, tree, s.idx, folded, proof, s.n FROM climb JOIN subroots s USING (tree) WHERE climb.n = 1
+  UNION ALL
+  SELECT c.level + 1, doc_id, tree, idx // 16,
+    sha256(array_to_string(run_nodes[:idx % 16], '') || folded || array_to_string(run_nodes[idx % 16 + 2:], '')),
+    proof || array_to_string(run_nodes[:idx % 16], '') || array_to_string(run_nodes[idx % 16 + 2:], ''), (n + 15) // 16
+  FROM climb_on c JOIN upper_runs r ON r.level = c.level AND r.run = c.idx // 16
+  WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, u.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = u.digest AS verified
+FROM climb_on c JOIN leaves USING (doc_id, tree) JOIN subroots USING (tree), (SELECT digest FROM upper WHERE n = 1) u
+WHERE c.n = 1
+"""

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardbook.llm import (
-    edit_embedding, histogram_sort, language_spans, mixing, oracles, personal_data,
-    rule_ensemble, set_join, templates, transcripts, url_tree,
+    edit_embedding, histogram_sort, language_spans, merkle_manifest, mixing, oracles,
+    personal_data, ring_simhash, rule_ensemble, set_join, templates, term_scan, transcripts,
+    url_tree,
 )
 from hazardbook.llm.common import documents, held_out, whole
 from hazardbook.session import stage
@@ -96,6 +97,22 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base_sha256", F.sha2("base", 256))
 
 
+def op11_term_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return term_scan.ranked(documents(spark, sf_dir), "doc_id", "text", items, "item_id", "text")
+
+
+def op12_ring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_simhash.near_components(documents(spark, sf_dir), "doc_id", "text")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verified_rows(
+        documents(spark, sf_dir), "source", "doc_id",
+        ["doc_id", "source", "lang", "n_chars", "text"], "text", held_out(),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,7 +124,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_edit_embedding, op2_transcripts, op3_jaccard_join, op4_histogram_shards,
         op5_url_tree, op6_rule_ensemble, op7_mixing, op8_language_spans, op9_templates,
-        op10_personal_data, pipeline,
+        op10_personal_data, op11_term_scan, op12_ring_simhash, op13_merkle_manifest, pipeline,
     )
 }
 
@@ -116,4 +133,6 @@ ORACLES: dict[str, str] = {
     "op3_jaccard_join": oracles.OP3,
     "op4_histogram_shards": oracles.OP4,
     "op7_mixing": oracles.OP7,
+    "op11_term_scan": oracles.OP11,
+    "op13_merkle_manifest": oracles.OP13,
 }
