@@ -11,7 +11,7 @@ from importlib import import_module
 
 from hazardbook.bindings.registry import ORACLES, QUERIES, Query
 
-_MODULES = ("views", "feeds", "relational", "history")
+_MODULES = ("views", "feeds", "relational", "history", "jobs")
 
 
 def _load() -> None:

@@ -6,14 +6,16 @@ lines, MDX) and parses it back; the SQL states the expected columns directly.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardbook.bindings.registry import register, table
+from hazardbook.bindings.registry import register, spread, table
 from hazardbook.functions.times import year_in_file_name
 from hazardbook.operators.latest import first_per_key
-from hazardbook.operators.quality import screen
-from hazardbook.session import spread
+from hazardbook.operators.quality import quality_counts, screen
+from hazardbook.session import shared_folder
 from hazardbook.sources import (
     advisories,
     bundles,
@@ -39,33 +41,52 @@ def _text(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def _score_lines(events: DataFrame) -> DataFrame:
-    """Score files of three generations, one per day; error events are a beta feed."""
+def score_lines(events: DataFrame) -> DataFrame:
+    """Score files of three generations, one per day, as ``folder``, ``file``, ``position``
+    and ``value``; error events are a beta feed. Every file has a blank line, and the
+    value of some scores is no number."""
     rows = events.selectExpr(
         "cast(ts as date) as day",
-        "concat(if(event_type = 'error', 'mirror/beta_scores/', 'mirror/2024/'),"
-        " 'epss_scores-', cast(ts as date), '.csv.gz') as path",
+        "if(event_type = 'error', 'beta_scores', '2024') as folder",
+        "concat('epss_scores-', cast(ts as date), '.csv.gz') as file",
         "user_id",
-        "value as score",
+        "if(event_id % 50 = 7, 'oops', cast(value as string)) as score",
         "event_id",
     )
     old = "day < date'2024-01-11'"
-    files = rows.select("day", "path").distinct()
+    files = rows.select("day", "folder", "file").distinct()
     comments = files.where(f"not ({old})").selectExpr(
-        "path",
+        "folder", "file", "-3L as position",
         "if(day < date'2024-01-21', concat('#model_version:v2,score_date:', day,"
         " 'T00:00:00+0000'), concat('#model_version:v3,score_date:', date_add(day, 1),"
         " 'T12:00:34Z')) as value",
-    )
+    )
     titles = files.selectExpr(
-        "path", f"if({old}, 'cve,epss', 'cve,epss,percentile') as value"
+        "folder", "file", "-2L as position", f"if({old}, 'cve,epss', 'cve,epss,percentile') as value"
     )
+    blanks = files.selectExpr("folder", "file", "-1L as position", "'' as value")
     lines = rows.selectExpr(
-        "path",
+        "folder", "file", "event_id as position",
         "concat('CVE-2024-', lpad(user_id, 6, '0'), ',', score,"
         f" if({old}, '', concat(',', cast(event_id as double)))) as value",
+    )
+    return lines.unionByName(comments).unionByName(titles).unionByName(blanks)
+
+
+def land_scores(spark: SparkSession, lines: DataFrame) -> str:
+    """The lines as compressed files of a landing folder, one for each ``file``."""
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    (
+        lines.repartition("folder", "file")
+        .sortWithinPartitions("folder", "file", "position")
+        .select("folder", "file", "value")
+        .write.partitionBy("folder", "file").option("compression", "gzip").text(folder)
     )
-    return lines.unionByName(comments).unionByName(titles)
+    return folder
+
+
+def landed_scores(spark: SparkSession, sf: str) -> str:
+    return land_scores(spark, score_lines(table(spark, sf, "events")))
 
 
 @register(
@@ -77,12 +98,27 @@ select 'CVE-2024-' || lpad(user_id::varchar, 6, '0') as cve, value as epss,
            ::varchar as date,
        case when ts::date < date '2024-01-11' then 'v1'
             when ts::date < date '2024-01-21' then 'v2' else 'v3' end as model_version
-from events where event_type <> 'error'""",
+from events where event_type <> 'error' and event_id % 50 <> 7""",
 )
 def feed_score_files(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _score_lines(spread(table(spark, sf, "events")))
-    wanted = lines.where(scores.is_score_file(F.col("path")))
-    return _text(scores.score_rows(wanted), "date")
+    """Landed files read by the source; blank lines and bad values are left out."""
+    rows = scores.read_scores(spark, landed_scores(spark, sf))
+    return _text(_parsed(rows).drop("path"), "date")
+
+
+@register(
+    "feed_score_quality",
+    """
+select ts::date::varchar as file_date, count(*) filter (event_id % 50 <> 7) as records,
+       count(*) filter (event_id % 50 = 7) as bad
+from events where event_type <> 'error' group by 1""",
+)
+def feed_score_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of every landed file that are scores, and lines that are not; titles,
+    comments and blank lines are neither."""
+    rows = scores.read_scores(spark, landed_scores(spark, sf))
+    dated = rows.withColumn("file_date", scores.file_date(F.col("path")))
+    return _text(quality_counts(dated, F.col("valid"), "file_date"), "file_date")
 
 
 @register(
@@ -94,9 +130,10 @@ from events where event_type <> 'error' group by 1""",
 def feed_score_file_names(spark: SparkSession, sf: str) -> DataFrame:
     """Mirror discovery: dated files outside of beta folders, by date and year."""
     path = F.col("path")
-    lines = _score_lines(spread(table(spark, sf, "events"))).where(
-        scores.is_score_file(path) & F.col("value").startswith("CVE-")
+    lines = score_lines(spread(table(spark, sf, "events"))).withColumn(
+        "path", F.concat_ws("/", F.lit("mirror"), "folder", "file")
     )
+    lines = lines.where(scores.is_score_file(path) & F.col("value").startswith("CVE-"))
     return _text(
         lines.groupBy(
             scores.file_date(path).alias("file_date"),
@@ -106,7 +143,7 @@ def feed_score_file_names(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _record_documents(orders: DataFrame) -> DataFrame:
+def record_documents(orders: DataFrame, file_year: str = "year(o_orderdate)") -> DataFrame:
     """One record per order; records of cheap orders are cut off in the middle."""
     document = """to_json(named_struct(
       'cveMetadata', named_struct(
@@ -148,6 +185,8 @@ def _record_documents(orders: DataFrame) -> DataFrame:
               named_struct('cweId', concat('CWE-', substr(o_orderpriority, 1, 1)))))))))))"""
     return orders.selectExpr(
         "o_totalprice",
+        "o_orderdate",
+        f"concat('cves/CVE-', {file_year}, '-', lpad(o_orderkey, 7, '0'), '.json') as path",
         f"if(o_totalprice < 10000, substr({document}, 1, 60), {document}) as value",
     )
 
@@ -180,8 +219,8 @@ select 'CVE-' || year(o_orderdate) || '-' || lpad(o_orderkey::varchar, 7, '0') a
 from orders where o_totalprice >= 10000""",
 )
 def feed_records(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _record_documents(spread(table(spark, sf, "orders")))
-    return _text(_parsed(records.record_rows(documents)).drop("raw"), "cwe")
+    documents = record_documents(spread(table(spark, sf, "orders")))
+    return _text(_parsed(records.record_rows(documents)).drop("raw", "file_year"), "cwe")
 
 
 @register(
@@ -192,13 +231,13 @@ select count(*) filter (o_totalprice >= 10000) as records,
 )
 def feed_record_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Malformed records are counted, not fatal."""
-    rows = records.record_rows(_record_documents(spread(table(spark, sf, "orders"))))
+    rows = records.record_rows(record_documents(spread(table(spark, sf, "orders"))))
     return rows.agg(
         F.count_if("valid").alias("records"), F.count_if(~F.col("valid")).alias("bad")
     )
 
 
-def _advisory_documents(lines: DataFrame) -> DataFrame:
+def advisory_documents(lines: DataFrame) -> DataFrame:
     events = """
       if(l_returnflag = 'A', array(
           named_struct('introduced', '0', 'fixed', null, 'last_affected', null),
@@ -252,7 +291,7 @@ from lineitem where l_linenumber <> 7""",
 )
 def feed_advisories(spark: SparkSession, sf: str) -> DataFrame:
     rows = _parsed(
-        advisories.advisory_rows(_advisory_documents(spread(table(spark, sf, "lineitem"))))
+        advisories.advisory_rows(advisory_documents(spread(table(spark, sf, "lineitem"))))
     )
     dash = F.lit("-")
     ranges = F.transform(
@@ -288,6 +327,14 @@ select o_orderkey::int as edb_id,
 from orders where o_totalprice >= 20000""",
 )
 def feed_exploit_index(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _parsed(exploits.exploit_rows(exploit_index(spread(table(spark, sf, "orders"))))).select(
+        "edb_id", "cve", "description", "type", "port", "verified", "codes", "code_url",
+        "date_published", "date_updated",
+    )
+    return _text(rows, "cve", "date_published", "date_updated")
+
+
+def exploit_index(orders: DataFrame) -> DataFrame:
     written = {
         "id": "if(o_totalprice < 20000, concat('x', o_orderkey), concat(' ', o_orderkey))",
         "description": "concat('exploit by ', o_custkey)",
@@ -300,14 +347,9 @@ def feed_exploit_index(spark: SparkSession, sf: str) -> DataFrame:
         " date_format(o_orderdate, 'yyyy-MM-dd'))",
         "date_updated": "date_format(o_orderdate, ' yyyy-MM-dd ')",
     }
-    index = spread(table(spark, sf, "orders")).selectExpr(
+    return orders.selectExpr(
         *[f"{written.get(c, 'cast(null as string)')} as {c}" for c in exploits.COLUMNS]
     )
-    rows = _parsed(exploits.exploit_rows(index)).select(
-        "edb_id", "cve", "description", "type", "port", "verified", "codes", "code_url",
-        "date_published", "date_updated",
-    )
-    return _text(rows, "cve", "date_published", "date_updated")
 
 
 @register(
@@ -457,12 +499,13 @@ from part""",
 )
 def feed_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
     tag = "case p_type when 'SMALL' then 'Category' when 'PROMO' then 'View' else 'Weakness' end"
+    listing = "case p_type when 'SMALL' then 'Categories' when 'PROMO' then 'Views' else 'Weaknesses' end"
     text = "case p_type when 'SMALL' then 'Summary' when 'PROMO' then 'Objective' else 'Description' end"
     group = "case p_type when 'SMALL' then 'Relationships' when 'PROMO' then 'Members' else 'Related_Weaknesses' end"
     member = "if(p_type in ('SMALL', 'PROMO'), 'Has_Member', 'Related_Weakness')"
     documents = spread(table(spark, sf, "part")).selectExpr(
         f"""concat('<?xml version="1.0"?>\\n<Weakness_Catalog xmlns="http://cwe.mitre.org/cwe-7"',
-          ' xmlns:xhtml="http://www.w3.org/1999/xhtml" Version="4.20" Date="2024-01-02"><Entries><',
+          ' xmlns:xhtml="http://www.w3.org/1999/xhtml" Version="4.20" Date="2024-01-02"><', {listing}, '><',
           {tag}, ' ID="', p_partkey, '" Name="', p_name, ' &amp; more" Abstraction="', p_brand,
           '" Status="', p_type, '"><', {text}, '>All &lt;b&gt;\\n  of <xhtml:i>', p_name,
           '</xhtml:i> ', p_brand, '\\n</', {text}, '><', {group}, '><',
@@ -470,9 +513,9 @@ def feed_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
           {member}, ' Nature="ChildOf" CWE_ID="', p_size, '" View_ID="2"/><',
           {member}, ' Nature="PeerOf" CWE_ID="', p_size + 1, '"/></', {group},
           '><Likelihood_Of_Exploit>High</Likelihood_Of_Exploit></', {tag},
-          '></Entries></Weakness_Catalog>') as value"""
+          '></', {listing}, '></Weakness_Catalog>') as value"""
     )
-    rows = weaknesses.weakness_rows(weaknesses.catalog_elements(documents))
+    rows = weaknesses.weakness_rows(documents)
     relations = F.transform(
         "relations", lambda r: F.concat_ws(">", r["nature"], r["target_id"])
     )
@@ -481,6 +524,41 @@ def feed_weaknesses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register(
+    "feed_weakness_markup",
+    """
+select 'CWE-' || p_partkey as cwe_id, 'weakness' as entry_type,
+       p_name || ' <&> it' as name, null as description, '' as relations, p_type as cwe_version
+from part
+union all
+select 'CWE-' || (p_partkey + 1000000), 'weakness', p_name,
+       'a <b> ' || p_name || ' < <Weakness ID="9"/> & so' || case when p_size > 25 then ' on' else '' end,
+       'ChildOf>CWE-' || p_size, p_type
+from part
+union all
+select 'CWE-' || (p_partkey + 2000000), 'category', null, null, '', p_type from part""",
+)
+def feed_weakness_markup(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries closed by themselves, entries in comments (none counts), entries outside of
+    their list, CDATA, character references and markup inside of texts."""
+    documents = table(spark, sf, "part").selectExpr(
+        """concat('<?xml version="1.0"?><!-- <Weakness ID="7"/> --><Weakness_Catalog Version="', p_type,
+          '" Date="2024-01-02"><Weakness ID="8" Name="stray"/><Weaknesses><Weakness ID="', p_partkey,
+          '" Name="', p_name, ' &lt;&amp;&gt; it"/><!-- <Weakness ID="', p_partkey, '9" Name="no">',
+          '<Description>no</Description></Weakness> --><Weakness Name="', p_name, '" ID="',
+          p_partkey + 1000000, '"><Description>a &#60;b&gt; <i title="1 > 0">', p_name,
+          '</i> &#x3C; <![CDATA[<Weakness ID="9"/> &]]> so', if(p_size > 25, '<br/> on', ''),
+          '</Description><Related_Weaknesses><Related_Weakness CWE_ID="', p_size,
+          '" Nature="ChildOf"/></Related_Weaknesses></Weakness></Weaknesses><Categories><Category ID="',
+          p_partkey + 2000000, '"/></Categories><Views/></Weakness_Catalog>') as value"""
+    )
+    rows = weaknesses.weakness_rows(documents)
+    relations = F.transform("relations", lambda r: F.concat_ws(">", r["nature"], r["target_id"]))
+    return rows.withColumn("relations", F.array_join(relations, ";")).select(
+        "cwe_id", "entry_type", "name", "description", "relations", "cwe_version"
+    )
+
+
 @register(
     "feed_attack_relationships",
     """

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from hazardbook.bindings.registry import register, table
 from hazardbook.bindings.world import base_tables, over_world
-from hazardbook.checks import overall, verify
 from hazardbook.operators.changes import (
     classify_snapshot,
     high_watermark,
@@ -21,10 +20,10 @@ from hazardbook.operators.changes import (
 )
 from hazardbook.operators.latest import latest_per_key
 from hazardbook.plans.views import latest_view
-from hazardbook.session import shared_folder, stage
-from hazardbook.sinks.files import write_sorted
+from hazardbook.session import shared_folder
+from hazardbook.sinks.files import file_ranges, write_sorted
 from hazardbook.sinks.ingest import model_versions_by_year
-from hazardbook.sinks.lake import Lake, table_of_path
+from hazardbook.sinks.lake import table_of_path
 from hazardbook.sources.records import id_year
 
 
@@ -225,10 +224,6 @@ def versioned_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ sinks and the lake
 
 
-def _new_lake(spark: SparkSession) -> Lake:
-    return Lake(spark, f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}")
-
-
 @register(
     "sorted_batch",
     """
@@ -249,100 +244,27 @@ def sorted_batch(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _lake_of_records(spark: SparkSession, sf: str) -> Lake:
-    """Records up to 1999 as year batches, later ones as a dated update batch."""
-    lake = _new_lake(spark)
-    records = base_tables(spark, sf)["cve_history"]
-    year = F.year("date_published")
-    old = records.where(F.col("date_updated") < _moment("2000-01-01"))
-    lake.backfill_years("cve_history", stage(old.withColumn("year", year)))
-    watermark = high_watermark(lake.table("cve_history"), "date_updated")
-    fresh = newer_than(records, "date_updated", watermark)
-    day = date(2001, 8, 2)
-    lake.append(
-        "cve_history", fresh, lake.batch_path("cve_history", day), day.isoformat()
-    )
-    return lake
-
-
 @register(
-    "lake_year_backfill_and_update",
-    over_world("""
-select year(date_published) as year, count(*) as records, max(date_updated) as newest
-from cve_history group by 1"""),
-)
-def lake_year_backfill_and_update(spark: SparkSession, sf: str) -> DataFrame:
-    """All records through a year backfill and a watermark update, read back."""
-    stored = _lake_of_records(spark, sf).table("cve_history")
-    return stored.groupBy(F.year("date_published").alias("year")).agg(
-        F.count("*").alias("records"), F.max("date_updated").alias("newest")
-    )
-
-
-@register(
-    "lake_manifest",
-    over_world("""
-select distinct 'cve_history' as table_name,
-       case when date_updated < timestamp '2000-01-01'
-            then 'cve/year=' || year(date_published)
-            else 'cve/updates/year=2001/cve-updates-2001-08-02.parquet' end as path
-from cve_history"""),
-)
-def lake_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """The registered batches, after the manifest was rebuilt from the stored files."""
-    lake = _lake_of_records(spark, sf)
-    lake.rebuild()
-    return lake.manifest().select("table_name", "path")
-
-
-@register(
-    "lake_verification",
-    over_world("""
-select 'cve_history' as table_name,
-       count(distinct case when date_updated < timestamp '2000-01-01'
-                      then year(date_published) else 0 end) as batches_in_storage,
-       count(distinct case when date_updated < timestamp '2000-01-01'
-                      then year(date_published) else 0 end) as batches_in_manifest,
-       0 as stray_batches, 0 as missing_batches, count(*) as row_count,
-       min(date_updated)::date::varchar as min_date,
-       max(date_updated)::date::varchar as max_date, true as ok, true as stale
-from cve_history
-union all
-select t, 0, 0, 0, 0, 0, null, null, true, false
-from (select unnest(['epss', 'ghsa_history', 'exploitdb_history', 'nuclei_history',
-  'cwe_history', 'kev_history', 'cloudflare_waf_history', 'attack_history',
-  'attack_relationship_history', 'capec_history']) as t)"""),
+    "sorted_batch_files",
+    """
+select count(*) as rows, 0 as unsorted_rows, 0 as overlapping_files,
+       min(l_orderkey) as first_order, max(l_orderkey) as last_order
+from lineitem""",
 )
-def lake_verification(spark: SparkSession, sf: str) -> DataFrame:
-    """Storage against manifest, row statistics, freshness; one row per base table."""
-    report = verify(_lake_of_records(spark, sf), date(2001, 9, 1), 3)
-    return report.withColumns(
-        {c: F.col(c).cast("string") for c in ("min_date", "max_date")}
+def sorted_batch_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Order inside and between the files of a sorted batch, from the stored files."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    path = f"{shared_folder(spark)}/sorted-{uuid.uuid4().hex}"
+    write_sorted(table(spark, sf, "lineitem"), path, keys)
+    return file_ranges(spark.read.parquet(path), keys).agg(
+        F.sum("rows").alias("rows"),
+        F.sum("unsorted_rows").alias("unsorted_rows"),
+        F.count_if("overlaps").alias("overlapping_files"),
+        F.min("low.l_orderkey").alias("first_order"),
+        F.max("high.l_orderkey").alias("last_order"),
     )
 
 
-@register(
-    "lake_verification_overall",
-    "select count(*) > 0 as ok, max(o_orderdate) < timestamp '2001-08-29' as stale from orders",
-)
-def lake_verification_overall(spark: SparkSession, sf: str) -> DataFrame:
-    return overall(verify(_lake_of_records(spark, sf), date(2001, 9, 1), 3))
-
-
-@register(
-    "lake_closed_year_scores",
-    over_world("""
-select cve, date::varchar as date, epss, model_version from epss"""),
-)
-def lake_closed_year_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily scores folded into one sorted batch per closed year, read back."""
-    lake = _new_lake(spark)
-    scores = stage(base_tables(spark, sf)["epss"].withColumn("year", F.year("date")))
-    lake.backfill_years("epss", scores, lake.years_with_daily_batches("epss"))
-    rows = lake.table("epss").select("cve", "date", "epss", "model_version")
-    return rows.withColumn("date", F.col("date").cast("string"))
-
-
 @register(
     "score_models_per_year",
     over_world("""

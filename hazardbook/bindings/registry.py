@@ -26,3 +26,10 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a given table over all cores, for queries that write feed text from it: the
+    tables are single small files, and parsing costs far more than moving their rows."""
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardbook.bindings.registry import register, table
+from hazardbook.bindings.registry import register, spread, table
 from hazardbook.functions.cvss import is_valid_v3, v3_base_score, vector_version
 from hazardbook.functions.identifiers import (
     excerpt_around,
@@ -54,7 +54,6 @@ from hazardbook.operators.quality import (
     table_statistics,
 )
 from hazardbook.operators.references import resolve_ends
-from hazardbook.session import spread
 from hazardbook.sources.changelog import public_url
 
 

@@ -8,9 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardbook.functions.times import date_in_file_name
 from hazardbook.schemas import TABLES, TableRules
-from hazardbook.sinks.lake import Lake, table_of_path
+from hazardbook.sinks.lake import YEAR_BATCH, Lake
 
 
 def staleness_limit(rules: TableRules, max_age_days: int | None) -> int | None:
@@ -33,63 +32,54 @@ def keeps_up(newest: Column, newest_batch: Column) -> Column:
     )
 
 
-def batch_date(path: Column) -> Column:
-    """Date in the name of a dated batch."""
-    return date_in_file_name(path, "-", "[.]parquet")
-
-
-def batch_year(path: Column) -> Column:
-    return F.regexp_extract(path, "/year=([0-9]+)(/|$)", 1).try_cast("int")
-
-
-def storage_report(stored: DataFrame, registered: DataFrame) -> DataFrame:
-    """Per table: batches on either side, strays and missing ones, dates in the names.
-
-    Both inputs have ``table_name`` and ``batch``; they are compared by one aggregation.
-    """
-    sides = stored.select("table_name", "batch", F.lit(1).alias("s"), F.lit(0).alias("m"))
-    sides = sides.unionByName(
-        registered.select("table_name", "batch", F.lit(0).alias("s"), F.lit(1).alias("m"))
-    )
-    batches = sides.groupBy("table_name", "batch").agg(
-        F.max("s").alias("s"), F.max("m").alias("m")
+def files_compared(lake: Lake) -> DataFrame:
+    """Per table: files and rows in storage and in the catalog, files on one side only, and
+    files whose rows changed. One aggregation over the files of all tables."""
+    stored = lake.stored_files()
+    none = F.lit(None).cast("long")
+    sides = stored.select("table_name", "file", F.col("rows").alias("s"), none.alias("c")).unionByName(
+        lake.data_files().select("table_name", "file", none.alias("s"), F.col("rows").alias("c"))
     )
-    in_storage = F.col("s") == 1
-    path = F.col("batch")
-    return batches.groupBy("table_name").agg(
-        F.sum("s").alias("batches_in_storage"),
-        F.sum("m").alias("batches_in_manifest"),
-        F.count_if(F.col("s") > F.col("m")).alias("stray_batches"),
-        F.count_if(F.col("s") < F.col("m")).alias("missing_batches"),
-        F.max(F.when(in_storage, batch_date(path))).alias("newest_batch"),
-        F.min(F.when(in_storage, batch_year(path))).alias("oldest_year"),
+    files = sides.groupBy("table_name", "file").agg(F.max("s").alias("s"), F.max("c").alias("c"))
+    in_storage, in_catalog = F.col("s").isNotNull(), F.col("c").isNotNull()
+    return files.groupBy("table_name").agg(
+        F.count_if(in_storage).alias("files_in_storage"),
+        F.count_if(in_catalog).alias("files_in_catalog"),
+        F.count_if(in_storage & ~in_catalog).alias("stray_files"),
+        F.count_if(~in_storage & in_catalog).alias("missing_files"),
+        F.count_if(in_storage & in_catalog & (F.col("s") != F.col("c"))).alias("changed_files"),
     )
 
 
 def statistics(lake: Lake) -> DataFrame:
-    """Row count and range of the order column of every table that has rows. One column
-    per table is read and everything is aggregated in one pass."""
-    tables = lake.tables()
+    """Row count, range of the order column, newest dated batch and oldest year of every
+    table that has rows. One column per table is read and everything is aggregated in
+    one pass."""
     days = reduce(
         DataFrame.unionByName,
         [
-            tables[name].select(
+            lake.stored(name).select(
                 F.lit(name).alias("table_name"),
                 F.col(rules.order).cast("date").alias("day"),
+                "year",
+                "batch",
             )
             for name, rules in TABLES.items()
         ],
     )
+    dated = F.when(F.col("batch") != YEAR_BATCH, F.col("batch").try_cast("date"))
     return days.groupBy("table_name").agg(
         F.count("*").alias("row_count"),
         F.min("day").alias("min_date"),
         F.max("day").alias("max_date"),
+        F.max(dated).alias("newest_batch"),
+        F.min("year").alias("oldest_year"),
     )
 
 
 def consistent(rules: TableRules) -> Column:
-    """Stored and registered batches agree and the rows fit the names of the batches."""
-    ok = (F.col("stray_batches") == 0) & (F.col("missing_batches") == 0)
+    """Stored and registered files agree and the rows fit the names of the batches."""
+    ok = (F.col("stray_files") == 0) & (F.col("missing_files") == 0) & (F.col("changed_files") == 0)
     newest, oldest = F.col("newest_batch"), F.col("oldest_year")
     if rules.name == "epss":
         ok &= newest.isNull() | F.coalesce(F.col("max_date") == newest, F.lit(False))
@@ -102,26 +92,22 @@ def consistent(rules: TableRules) -> Column:
 
 
 def verify(lake: Lake, today: date, max_age_days: int | None = None) -> DataFrame:
-    """One report row per base table; without a manifest one row that says so."""
-    stored = lake.stored_files().select("batch").distinct()
+    """One report row per base table; without a catalog one row that says so."""
     if not lake.exists():
-        return stored.agg(F.count("*").alias("batches_in_storage")).select(
-            F.lit("manifest not found").alias("table_name"),
-            "batches_in_storage",
+        return lake.stored_paths().agg(F.count("*").alias("files_in_storage")).select(
+            F.lit("catalog not found").alias("table_name"),
+            "files_in_storage",
             F.lit(False).alias("ok"),
             F.lit(False).alias("stale"),
         )
-    stored = stored.withColumn(
-        "table_name", table_of_path(F.concat("batch", F.lit("/")))
-    ).where("table_name is not null")
-    registered = lake.registered().select("table_name", F.col("path").alias("batch"))
+    lake.refresh()
     counts = [
-        "batches_in_storage", "batches_in_manifest", "stray_batches", "missing_batches",
+        "files_in_storage", "files_in_catalog", "stray_files", "missing_files", "changed_files",
     ]
     names = lake.spark.createDataFrame([(name,) for name in TABLES], "table_name string")
     joined = (
         names.join(statistics(lake), "table_name", "left")
-        .join(storage_report(stored, registered), "table_name", "left")
+        .join(files_compared(lake), "table_name", "left")
         .na.fill(0, [*counts, "row_count"])
     )
     ok, stale = F.lit(None), F.lit(None)

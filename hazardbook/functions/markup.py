@@ -90,7 +90,32 @@ def html_rows(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
 
 
-def xml_text(fragment: Column, path: str) -> Column:
-    """Text of all descendants of the first match, white space collapsed, empty -> NULL."""
-    text = collapse_white_space(F.xpath_string(fragment, F.lit(path)))
+_TAG = r"<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>"
+
+
+def markup_kept(document: Column) -> Column:
+    """An XML document in which escaped text outlives one parse as escaped text, so that it
+    can still be told from markup inside an element that is read as a string. CDATA
+    becomes escaped text."""
+
+    def escaped(text: Column) -> Column:
+        return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+    pieces = F.split(document, r"<!\[CDATA\[|\]\]>")
+    plain = F.array_join(
+        F.transform(pieces, lambda p, i: F.when(i % 2 == 1, escaped(p)).otherwise(p)), ""
+    )
+    ampersands = F.replace(plain, F.lit("&amp;"), F.lit("&amp;amp;"))
+    return F.regexp_replace(ampersands, "&(lt|#0*60|#[xX]0*3[cC]);", "&amp;lt;")
+
+
+def unmarked(text: Column) -> Column:
+    """Plain text of what ``markup_kept`` kept escaped."""
+    return F.replace(F.replace(text, F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
+
+
+def text_of_markup(inner: Column) -> Column:
+    """Text of all descendants of an element read as a string from a ``markup_kept``
+    document, white space collapsed, empty -> NULL."""
+    text = collapse_white_space(unmarked(F.regexp_replace(inner, _TAG, "")))
     return F.when(text != "", text)

@@ -55,18 +55,6 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a file scan over all cores, when the files are too few to occupy them.
-
-    For work that costs far more per row than moving the row, such as parsing. A scan
-    with enough splits, as any large table has, is left alone.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= wanted:
-        return scan
-    return scan.repartition(wanted)
-
-
 _staged: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar(
     "staged", default=None
 )
@@ -90,7 +78,8 @@ def stage(df: DataFrame, split_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through its file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     files.delete(target, True)
@@ -112,6 +101,6 @@ def staged_job(job: Callable[P, R]) -> Callable[P, R]:
         finally:
             _staged.reset(token)
             for spark, path in tables:
-                _drop(spark, path)
+                drop_path(spark, path)
 
     return run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,33 +15,43 @@ def range_keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [*[F.col(k) for k in keys], F.xxhash64(*hashable)]
 
 
-def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """One directory of zstd files that are sorted and do not overlap in key range.
+def ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in sorted partitions whose key ranges do not overlap. The ranges come from a
+    sample, for which the rows are read once more: pass rows that are written already."""
+    return df.repartitionByRange(*range_keys(df, keys)).sortWithinPartitions(*keys)
 
-    The directory is replaced: it is written before it is registered, so anything found
-    there is left over from a run that failed.
-    """
-    (
-        df.repartitionByRange(*range_keys(df, keys))
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in sorted partitions, dealt by a hash of the keys in one pass over the input.
+    AQE merges the partitions of a small batch into one, whose range overlaps no other."""
+    return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+
+
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """One directory of zstd files that are sorted and do not overlap in key range. The
+    directory is replaced."""
+    ranged(df, keys).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def write_sorted_by_year(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """All years in one job, each in ``year=Y`` with sorted, non-overlapping files.
+def file_ranges(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per stored file: its rows, the smallest and the greatest key, how many rows are out
+    of order in it, and whether its range overlaps that of the file before.
 
-    The number of files per year follows the data: ranges run over (year, keys), the
-    sort spills to disk, and only the years that are written are replaced.
+    Files of one batch touch at most in an equal key, of which each holds some rows.
     """
-    (
-        df.repartitionByRange(F.col("year"), *range_keys(df, keys))
-        .sortWithinPartitions("year", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("year")
-        .parquet(path)
+    key = F.struct(*keys)
+    placed = stored.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+        key.alias("key"),
+    )
+    in_file = Window.partitionBy("file").orderBy("at")
+    files = placed.withColumn("before", F.lag("key").over(in_file)).groupBy("file").agg(
+        F.count("*").alias("rows"),
+        F.min("key").alias("low"),
+        F.max("key").alias("high"),
+        F.count_if(F.col("before") > F.col("key")).alias("unsorted_rows"),
+    )
+    in_order = Window.orderBy("low", "high")  # one row a file
+    return files.withColumn(
+        "overlaps", F.coalesce(F.lag("high").over(in_order) > F.col("low"), F.lit(False))
     )

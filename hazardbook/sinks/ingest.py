@@ -1,14 +1,17 @@
-"""Ingest jobs: landed feed -> rows to append -> registered batch.
+"""Ingest jobs: landed feed -> rows to append -> published batch.
 
-All jobs are idempotent. Each feed is parsed once and staged in the shared folder; the
-guard, the comparison and the counts then read the staged table.
+All jobs are idempotent. A job over a landed folder reads and parses it and hands the rows
+to the job over rows, which can be called with rows from anywhere. A watermarked feed is
+parsed, counted and written by one job; the full dump is never stored. A snapshot feed is
+staged once, because the guard and the comparison both read it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hazardbook.operators.changes import (
@@ -22,7 +25,7 @@ from hazardbook.operators.latest import first_per_key
 from hazardbook.operators.quality import screen
 from hazardbook.plans.views import latest_view
 from hazardbook.session import stage, staged_job
-from hazardbook.sinks.lake import BatchResult, Lake
+from hazardbook.sinks.lake import YEAR_BATCH, BatchResult, Lake
 from hazardbook.sources import (
     advisories,
     bundles,
@@ -54,15 +57,10 @@ def _screened(rows: DataFrame) -> tuple[DataFrame, int]:
     return kept, seen.get["bad"]
 
 
-def _append(
-    lake: Lake, table: str, rows: DataFrame, path: str, label: str, bad: int
-) -> BatchResult:
-    """Register the rows as a batch; an empty batch is never stored."""
-    changes = stage(rows)
-    if changes.isEmpty():
-        return BatchResult("no-new-records", label, 0, bad)
-    result = lake.append(table, changes, path, label)
-    return BatchResult(result.status, label, result.records, bad)
+def _backfilled(years: list[BatchResult], found: DataFrame, bad: int) -> str:
+    """What a backfill did; ``found`` has a ``year`` for all rows it was given."""
+    skipped = found.where("year is not null").select("year").distinct().count() - len(years)
+    return f"backfilled {len(years)} year batches (skipped {skipped} years, {bad} bad records)"
 
 
 # ------------------------------------------------------------------------- scores
@@ -70,55 +68,66 @@ def _append(
 
 @staged_job
 def update_scores(lake: Lake, landed: str) -> list[BatchResult]:
-    """Append every landed day that is not registered yet, one batch per day."""
+    """Append every landed day that is not stored yet, one batch per day."""
     return add_score_days(lake, scores.read_scores(lake.spark, landed))
 
 
 @staged_job
 def add_score_days(lake: Lake, rows: DataFrame) -> list[BatchResult]:
-    """One batch per day that is not registered yet. Only the days are listed here. The
-    new batches become visible together, after the last one is written."""
-    staged = stage(rows, split_by="date")
-    found = staged.select("date").where("date is not null").distinct().collect()
-    if not found:
-        return [BatchResult("not-published-yet")]
-    known = set(lake.registered_paths("epss"))
-    results, entries = [], []
-    for day in sorted(row.date for row in found):
-        path, label = lake.batch_path("epss", day), day.isoformat()
-        if path in known:
-            results.append(BatchResult("already-registered", label))
-            continue
-        count = lake.write_batch("epss", staged.where(F.col("date") == F.lit(day)), path)
-        entries.append(("epss", path, f"epss {label} ({count} records)"))
-        results.append(BatchResult("published", label, count))
-    lake.add_batches(entries)
-    return results
+    """One batch per day that is not stored yet, all of them written in one job. Lines that
+    are not valid, such as those without a date, are counted in the last result."""
+    staged, bad = _screened(rows)
+    dated = staged.withColumns({"year": F.year("date"), "batch": F.col("date").cast("string")})
+    return _add_scores(lake, dated, bad)
+
+
+def _add_scores(lake: Lake, rows: DataFrame, bad: int) -> list[BatchResult]:
+    """Rows with their ``year`` and ``batch``; batches that are there stay as they are."""
+    known = F.broadcast(lake.batches("epss"))  # one row a batch
+    models = F.array_join(F.sort_array(F.collect_set("model_version")), ", ")
+    fresh = rows.join(known, ["year", "batch"], "left_anti")
+    added = lake.publish("epss", fresh, note=models)
+    published = {r.batch for r in added}
+    results = [
+        BatchResult("already-registered", r.batch)
+        for r in rows.select("batch").distinct().sort("batch").collect()  # one row a batch
+        if r.batch not in published and r.batch != YEAR_BATCH
+    ] + added
+    if not results:
+        return [BatchResult("not-published-yet", bad=bad)]
+    last = results[-1]
+    return [*results[:-1], BatchResult(last.status, last.batch, last.records, bad)]
 
 
 @staged_job
 def backfill_scores(lake: Lake, landed: str, today: date) -> str:
-    """Fold each closed year into one sorted batch and keep the running year daily.
+    return fold_scores(lake, scores.read_scores(lake.spark, landed), today)
+
+
+@staged_job
+def fold_scores(lake: Lake, rows: DataFrame, today: date) -> str:
+    """Fold each closed year of files into one batch and keep the running year daily, all
+    in one job. The year is that of the file's name.
 
     A closed year that already holds daily batches is skipped, not folded.
     """
-    lines = scores.read_score_lines(lake.spark, landed)
-    few = len(lines.inputFiles()) <= scores.BROADCAST_FILES
-    file_year = F.year(scores.file_date(F.col("path")))
-    closed = stage(
-        scores.score_rows(
-            lines.where(file_year < today.year), broadcast_headers=few
-        ).withColumn("year", F.year("date"))
-    )
-    added = lake.backfill_years("epss", closed, lake.years_with_daily_batches("epss"))
-    running = scores.score_rows(
-        lines.where(file_year >= today.year), broadcast_headers=few
-    )
-    days = [r for r in add_score_days(lake, running) if r.batch]
-    new_days = [r for r in days if r.status == "published"]
+    kept, bad = _screened(rows)
+    file_year = F.coalesce(F.year(scores.file_date(F.col("path"))), F.year("date"))
+    closed = file_year < today.year
+    batched = kept.withColumns({
+        "batch": F.when(closed, YEAR_BATCH).otherwise(F.col("date").cast("string")),
+        "year": F.when(closed, file_year).otherwise(F.year("date")),
+    })
+    daily = lake.years_with_dated_batches("epss").withColumn("batch", F.lit(YEAR_BATCH))
+    open_years = batched.join(F.broadcast(daily), ["year", "batch"], "left_anti")
+    results = _add_scores(lake, open_years, bad)
+    years = batched.where(F.col("batch") == YEAR_BATCH).select("year").distinct().count()
+    published = [r.batch for r in results if r.status == "published"]
+    folded = [b for b in published if b.endswith(YEAR_BATCH)]
+    known = [r for r in results if r.status == "already-registered"]
     return (
-        f"backfilled {len(added)} year batches, {len(new_days)} daily batches "
-        f"(skipped {len(days) - len(new_days)} daily)"
+        f"backfilled {len(folded)} year batches, {len(published) - len(folded)} daily batches"
+        f" (skipped {years - len(folded)} years, {len(known)} daily, {bad} bad lines)"
     )
 
 
@@ -132,91 +141,120 @@ def model_versions_by_year(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- watermarked feeds
 
 
-@staged_job
-def update_records(lake: Lake, landed: str, baseline: date) -> BatchResult:
-    """Records changed after the newest stored one."""
-    table, label = "cve_history", baseline.isoformat()
-    path = lake.batch_path(table, baseline)
-    if lake.is_registered(path):
+def _add_delta(
+    lake: Lake,
+    table: str,
+    parsed: Callable[[], DataFrame],
+    order: str,
+    day: date,
+    fresh: Callable[[DataFrame, object], DataFrame],
+) -> BatchResult:
+    """Append what is ``fresh`` after the newest stored row. One job parses the feed, counts
+    its malformed records and writes the delta."""
+    label = day.isoformat()
+    if lake.has_batch(table, label):
         return BatchResult("already-registered", label)
-    watermark = high_watermark(lake.table(table), "date_updated")
+    watermark = high_watermark(lake.table(table), order)
     if watermark is None:
         return BatchResult("refused: history is empty, run the backfill first")
-    rows, bad = _screened(records.record_rows(records.read_records(lake.spark, landed)))
-    return _append(
-        lake, table, newer_than(rows, "date_updated", watermark), path, label, bad
+    seen = Observation()
+    rows = screen(parsed(), F.col("valid"), seen)
+    done = lake.append(table, fresh(rows, watermark), day, once=True)
+    return BatchResult(done.status, label, done.records, seen.get["bad"])
+
+
+def _fill_years(lake: Lake, table: str, parsed: DataFrame, year: Callable[[DataFrame], Column]) -> str:
+    """All records, one batch per year; records without a year are counted as bad."""
+    rows, bad = _screened(parsed)
+    placed = rows.withColumn("year", year(rows))
+    added, without = lake.backfill_years(table, placed)
+    return _backfilled(added, placed, bad + without)
+
+
+@staged_job
+def update_records(lake: Lake, landed: str, baseline: date) -> BatchResult:
+    """Records changed after the newest stored one."""
+    return add_records(
+        lake, lambda: records.record_rows(records.read_records(lake.spark, landed)), baseline
     )
 
 
+def add_records(lake: Lake, parsed: Callable[[], DataFrame], baseline: date) -> BatchResult:
+    return _add_delta(
+        lake, "cve_history", parsed, "date_updated", baseline,
+        lambda rows, newest: newer_than(rows, "date_updated", newest),
+    )
+
+
 @staged_job
 def backfill_records(lake: Lake, landed: str) -> str:
-    """All records, one batch per year of the record id."""
-    rows, bad = _screened(records.record_rows(records.read_records(lake.spark, landed)))
-    years = lake.backfill_years(
-        "cve_history", rows.withColumn("year", records.id_year(F.col("cve")))
-    )
-    return f"backfilled {len(years)} year batches ({bad} bad records)"
+    """All records, one batch per year in the name of the record's file."""
+    return fill_records(lake, records.record_rows(records.read_records(lake.spark, landed)))
+
+
+@staged_job
+def fill_records(lake: Lake, parsed: DataFrame) -> str:
+    return _fill_years(lake, "cve_history", parsed, lambda _: F.col("file_year"))
 
 
 @staged_job
 def update_advisories(lake: Lake, landed: str, run_date: date) -> BatchResult:
-    table, label = "ghsa_history", run_date.isoformat()
-    path = lake.batch_path(table, run_date)
-    if lake.is_registered(path):
-        return BatchResult("already-registered", label)
-    watermark = high_watermark(lake.table(table), "modified")
-    if watermark is None:
-        return BatchResult("refused: history is empty, run the backfill first")
-    rows, bad = _screened(
-        advisories.advisory_rows(advisories.read_advisories(lake.spark, landed))
+    return add_advisories(
+        lake, lambda: advisories.advisory_rows(advisories.read_advisories(lake.spark, landed)), run_date
     )
-    return _append(lake, table, newer_than(rows, "modified", watermark), path, label, bad)
+
+
+def add_advisories(lake: Lake, parsed: Callable[[], DataFrame], run_date: date) -> BatchResult:
+    return _add_delta(
+        lake, "ghsa_history", parsed, "modified", run_date,
+        lambda rows, newest: newer_than(rows, "modified", newest),
+    )
 
 
 @staged_job
 def backfill_advisories(lake: Lake, landed: str) -> str:
-    rows, bad = _screened(
-        advisories.advisory_rows(advisories.read_advisories(lake.spark, landed))
+    return fill_advisories(
+        lake, advisories.advisory_rows(advisories.read_advisories(lake.spark, landed))
     )
-    years = lake.backfill_years(
-        "ghsa_history", rows.withColumn("year", advisories.advisory_year())
-    )
-    return f"backfilled {len(years)} year batches ({bad} bad records)"
+
+
+@staged_job
+def fill_advisories(lake: Lake, parsed: DataFrame) -> str:
+    return _fill_years(lake, "ghsa_history", parsed, lambda _: advisories.advisory_year())
 
 
 @staged_job
 def update_exploits(lake: Lake, landed: str, run_date: date) -> BatchResult:
     """Index rows of the newest stored day that were not stored then, and later ones."""
-    table, label = "exploitdb_history", run_date.isoformat()
-    path = lake.batch_path(table, run_date)
-    if lake.is_registered(path):
-        return BatchResult("already-registered", label)
-    history = lake.table(table)
-    watermark = high_watermark(history, "date_updated")
-    if watermark is None:
-        return BatchResult("refused: history is empty, run the backfill first")
-    rows, bad = _screened(
-        exploits.exploit_rows(exploits.read_exploit_index(lake.spark, landed))
+    return add_exploits(
+        lake, lambda: exploits.exploit_rows(exploits.read_exploit_index(lake.spark, landed)), run_date
     )
-    fresh = newer_or_unseen(rows, history, "edb_id", "date_updated", watermark)
-    return _append(lake, table, fresh, path, label, bad)
+
+
+def add_exploits(lake: Lake, parsed: Callable[[], DataFrame], run_date: date) -> BatchResult:
+    history = lake.table("exploitdb_history")
+    return _add_delta(
+        lake, "exploitdb_history", parsed, "date_updated", run_date,
+        lambda rows, newest: newer_or_unseen(rows, history, "edb_id", "date_updated", newest),
+    )
 
 
 @staged_job
 def backfill_exploits(lake: Lake, landed: str) -> str:
-    rows, bad = _screened(
-        exploits.exploit_rows(exploits.read_exploit_index(lake.spark, landed))
+    return fill_exploits(
+        lake, exploits.exploit_rows(exploits.read_exploit_index(lake.spark, landed))
     )
-    years = lake.backfill_years(
-        "exploitdb_history", rows.withColumn("year", exploits.exploit_year(rows))
-    )
-    return f"backfilled {len(years)} year batches ({bad} bad records)"
+
+
+@staged_job
+def fill_exploits(lake: Lake, parsed: DataFrame) -> str:
+    return _fill_years(lake, "exploitdb_history", parsed, exploits.exploit_year)
 
 
 # ----------------------------------------------------------------- snapshot feeds
 
 
-def _update_snapshot(
+def _add_snapshot(
     lake: Lake,
     table: str,
     current: DataFrame,
@@ -228,57 +266,66 @@ def _update_snapshot(
     latest = latest_view(lake.tables(), table)
     guard_against_shrinking(current, latest)
     changes = snapshot_changes(current, latest, keys, compare, run_date)
-    path = lake.batch_path(table, run_date)
-    return _append(lake, table, changes, path, run_date.isoformat(), bad)
+    done = lake.append(table, changes, run_date, once=True)
+    return BatchResult(done.status, done.batch, done.records, bad)
 
 
 @staged_job
 def update_templates(lake: Lake, landed: str, run_date: date) -> BatchResult:
+    return add_templates(
+        lake, lambda: templates.template_rows(templates.read_templates(lake.spark, landed)), run_date
+    )
+
+
+@staged_job
+def add_templates(lake: Lake, parsed: Callable[[], DataFrame], run_date: date) -> BatchResult:
     """Templates whose content or path changed, came back, or are gone."""
-    table = "nuclei_history"
-    if lake.is_registered(lake.batch_path(table, run_date)):
+    if lake.has_batch("nuclei_history", run_date.isoformat()):
         return BatchResult("already-registered", run_date.isoformat())
-    rows, bad = _screened(
-        templates.template_rows(templates.read_templates(lake.spark, landed))
-    )
+    rows, bad = _screened(parsed())
     current = first_per_key(rows, ["template_id"], ["file"])
-    return _update_snapshot(
-        lake, table, current, ("template_id",), TEMPLATE_COLUMNS, run_date, bad
+    return _add_snapshot(
+        lake, "nuclei_history", current, ("template_id",), TEMPLATE_COLUMNS, run_date, bad
     )
 
 
 @staged_job
 def update_exploited(lake: Lake, landed: str, run_date: date) -> BatchResult:
+    return add_exploited(
+        lake, lambda: exploited.exploited_rows(exploited.read_exploited(lake.spark, landed)), run_date
+    )
+
+
+@staged_job
+def add_exploited(lake: Lake, parsed: Callable[[], DataFrame], run_date: date) -> BatchResult:
     """Catalog entries with any changed field, that came back, or are gone."""
-    table = "kev_history"
-    if lake.is_registered(lake.batch_path(table, run_date)):
+    if lake.has_batch("kev_history", run_date.isoformat()):
         return BatchResult("already-registered", run_date.isoformat())
-    rows, bad = _screened(
-        exploited.exploited_rows(exploited.read_exploited(lake.spark, landed))
-    )
-    current = first_per_key(rows, ["cve"], ["path", "position"])
-    return _update_snapshot(
-        lake,
-        table,
-        current.drop("path", "position"),
-        ("cve",),
-        EXPLOITED_COLUMNS,
-        run_date,
-        bad,
+    rows, bad = _screened(parsed())
+    current = first_per_key(rows, ["cve"], ["path", "position"]).drop("path", "position")
+    return _add_snapshot(
+        lake, "kev_history", current, ("cve",), EXPLOITED_COLUMNS, run_date, bad
     )
 
 
 @staged_job
 def update_mentions(lake: Lake, landed: str, run_date: date) -> BatchResult:
-    table = "cloudflare_waf_history"
-    if lake.is_registered(lake.batch_path(table, run_date)):
+    return add_mentions(
+        lake, lambda: changelog.mention_rows(changelog.read_pages(lake.spark, landed)), run_date
+    )
+
+
+@staged_job
+def add_mentions(lake: Lake, parsed: Callable[[], DataFrame], run_date: date) -> BatchResult:
+    if lake.has_batch("cloudflare_waf_history", run_date.isoformat()):
         return BatchResult("already-registered", run_date.isoformat())
-    current = stage(changelog.mention_rows(changelog.read_pages(lake.spark, landed)))
+    current = stage(parsed())
     if current.isEmpty():
         raise RuntimeError("refusing to ingest: no identifiers in the change log")
-    return _update_snapshot(
-        lake, table, current, ("identifier", "source_url"), MENTION_COLUMNS, run_date, 0
-    )
+    return _add_snapshot(
+        lake, "cloudflare_waf_history", current, ("identifier", "source_url"),
+        MENTION_COLUMNS, run_date, 0,
+    )
 
 
 # ------------------------------------------------------------ versioned snapshots
@@ -287,51 +334,57 @@ def update_mentions(lake: Lake, landed: str, run_date: date) -> BatchResult:
 @staged_job
 def update_weaknesses(lake: Lake, landed: str) -> list[BatchResult]:
     """Append the whole catalog of every release that is not stored yet."""
-    elements = weaknesses.catalog_elements(
-        weaknesses.read_catalogs(lake.spark, landed)
-    ).repartition("fragment")
-    rows = stage(weaknesses.weakness_rows(elements))
-    releases = rows.select("cwe_version").distinct().collect()
-    return [
-        lake.append(
-            "cwe_history",
-            rows.where(F.col("cwe_version") == version),
-            f"cwe/version={version}/cwe-{version}.parquet",
-            version,
-        )
-        for version in sorted(row.cwe_version for row in releases)
+    return add_releases(lake, weaknesses.weakness_rows(weaknesses.read_catalogs(lake.spark, landed)))
+
+
+@staged_job
+def add_releases(lake: Lake, rows: DataFrame) -> list[BatchResult]:
+    """One batch per release, named after its version, all written in one job."""
+    table = "cwe_history"
+    staged = stage(rows.withColumns({"year": F.year("release_date"), "batch": F.col("cwe_version")}))
+    known = lake.batches(table).select("batch")
+    added = lake.publish(table, staged.join(F.broadcast(known), "batch", "left_anti"))
+    published = {r.batch for r in added}
+    releases = staged.select("batch").distinct().sort("batch").collect()  # one row a release
+    return added + [
+        BatchResult("already-registered", r.batch) for r in releases if r.batch not in published
     ]
 
 
 @staged_job
 def update_techniques(lake: Lake, landed: str, run_date: date) -> list[BatchResult]:
-    """Append the whole snapshot of all matrices, objects and relationships."""
-    label = run_date.isoformat()
-    path = lake.batch_path("attack_history", run_date)
-    if lake.is_registered(path):
-        return [BatchResult("already-registered", label)]
     documents = bundles.read_bundles(lake.spark, landed, "*-attack.json")
-    named = documents.withColumn("matrix", bundles.matrix_of(F.col("path")))
+    return add_techniques(
+        lake, lambda: documents.withColumn("matrix", bundles.matrix_of(F.col("path"))), run_date
+    )
+
+
+@staged_job
+def add_techniques(
+    lake: Lake, documents: Callable[[], DataFrame], run_date: date
+) -> list[BatchResult]:
+    """Append the whole snapshot of all matrices, objects and relationships."""
+    if lake.has_batch("attack_history", run_date.isoformat()):
+        return [BatchResult("already-registered", run_date.isoformat())]
     objects = stage(
-        bundles.bundle_objects(named, "matrix").repartition("matrix", "position")
+        bundles.bundle_objects(documents(), "matrix").repartition("matrix", "position")
+    )
+    # The object batch answers "is this run done", so it is published last.
+    edges = lake.append(
+        "attack_relationship_history", bundles.relationship_rows(objects), run_date, once=True
     )
-    edges = stage(bundles.relationship_rows(objects))
-    count = lake.write_batch("attack_history", bundles.attack_rows(objects), path)
-    results = []
-    if not edges.isEmpty():
-        edge_path = lake.batch_path("attack_relationship_history", run_date)
-        results.append(lake.append("attack_relationship_history", edges, edge_path, label))
-    # The object batch answers "is this run done", so it is registered last.
-    lake.add_batch("attack_history", path, f"attack {label} ({count} objects)")
-    return [BatchResult("published", label, count), *results]
+    done = lake.append("attack_history", bundles.attack_rows(objects), run_date, once=True)
+    return [done, *([edges] if edges.records else [])]
 
 
 @staged_job
 def update_patterns(lake: Lake, landed: str, run_date: date) -> BatchResult:
-    label = run_date.isoformat()
-    path = lake.batch_path("capec_history", run_date)
-    if lake.is_registered(path):
-        return BatchResult("already-registered", label)
     documents = bundles.read_bundles(lake.spark, landed, "*capec*.json")
-    objects = bundles.bundle_objects(documents).repartition("position")
-    return lake.append("capec_history", bundles.pattern_rows(objects), path, label)
+    return add_patterns(lake, lambda: documents, run_date)
+
+
+def add_patterns(lake: Lake, documents: Callable[[], DataFrame], run_date: date) -> BatchResult:
+    if lake.has_batch("capec_history", run_date.isoformat()):
+        return BatchResult("already-registered", run_date.isoformat())
+    objects = bundles.bundle_objects(documents()).repartition("position")
+    return lake.append("capec_history", bundles.pattern_rows(objects), run_date, once=True)

@@ -24,14 +24,3 @@ def read_documents(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
     return files.select(
         relative_path(F.col("_metadata.file_path"), root).alias("path"), "value"
     )
-
-
-def read_lines(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """One row per line: ``path``, the URL of the file as it is, and the line as
-    ``value``. Filters on the path drop files before they are read."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", name_glob)
-        .text(root)
-    )
-    return files.select(F.col("_metadata.file_path").alias("path"), "value")

@@ -7,89 +7,78 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardbook.functions.markup import xml_text
+from hazardbook.functions.markup import markup_kept, text_of_markup, unmarked
 from hazardbook.functions.nested import weakness_relations
 from hazardbook.functions.times import iso_date
 from hazardbook.sources.files import read_documents
 
-# Element, published entry type, description child, relation elements.
+# List element, entry element, published entry type, description child,
+# relation list and relation element.
 ENTRY_KINDS = (
-    ("Weakness", "weakness", "Description", "Related_Weaknesses/Related_Weakness"),
-    ("Category", "category", "Summary", "Relationships/Has_Member"),
-    ("View", "view", "Objective", "Members/Has_Member"),
+    ("Weaknesses", "Weakness", "weakness", "Description", "Related_Weaknesses", "Related_Weakness"),
+    ("Categories", "Category", "category", "Summary", "Relationships", "Has_Member"),
+    ("Views", "View", "view", "Objective", "Members", "Has_Member"),
 )
 
-_ATTRIBUTES = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*"
+
+def _entry_list(listing: str, tag: str, kind: str, text: str, group: str, member: str) -> str:
+    return (
+        f"{listing} struct<{tag}:array<struct<`_ID`:string,`_Name`:string,"
+        f"`_Abstraction`:string,`_Status`:string,{text}:string,Likelihood_Of_Exploit:string,"
+        f"{group}:struct<{member}:array<struct<`_Nature`:string,`_CWE_ID`:string>>>>>>"
+    )
+
+
+_CATALOG = "_Version string, _Date string, " + ", ".join(_entry_list(*k) for k in ENTRY_KINDS)
 
 
 def read_catalogs(spark: SparkSession, root: str) -> DataFrame:
     return read_documents(spark, root, "*.xml")
 
 
-def catalog_elements(documents: DataFrame) -> DataFrame:
-    """Entry elements as XML text: ``kind``, ``fragment``, version and release date.
-
-    A document is only cut into elements here; they are parsed one by one afterwards,
-    spread over the cluster.
+def weakness_rows(documents: DataFrame) -> DataFrame:
+    """Typed rows of ``cwe_history`` from the text of catalogs (``value``), in one pass of
+    Spark's XML parser: comments are skipped, CDATA is text, and an entry counts where the
+    catalog lists it, whether it is closed by itself or not. A catalog that is no XML or
+    has no version or date is an error.
     """
+    parsed = documents.select(F.from_xml(markup_kept(F.col("value")), _CATALOG).alias("c"))
 
     def required(attribute: str) -> Column:
-        value = F.xpath_string("value", F.lit(f"/Weakness_Catalog/@{attribute}"))
-        return F.when(value != "", value).otherwise(
+        value = F.col(f"c._{attribute}")
+        return F.when(value != "", unmarked(value)).otherwise(
             F.raise_error(F.lit(f"catalog has no {attribute} attribute"))
         )
 
-    release = documents.select(
-        "value",
-        required("Version").alias("cwe_version"),
-        iso_date(required("Date")).alias("release_date"),
+    release = parsed.withColumns(
+        {"cwe_version": required("Version"), "release_date": iso_date(required("Date"))}
     )
 
-    def elements(tag: str) -> DataFrame:
-        pattern = rf"(?s)<{tag}(?:\s{_ATTRIBUTES})?(?<!/)>.*?</{tag}>"
-        return release.select(
-            "cwe_version",
-            "release_date",
-            F.lit(tag).alias("kind"),
-            F.explode(
-                F.regexp_extract_all("value", F.lit(pattern), F.lit(0))
-            ).alias("fragment"),
+    def of_kind(listing: str, tag: str, kind: str, text: str, group: str, member: str) -> DataFrame:
+        nothing = F.lit(None).cast("string")
+        entries = release.select(
+            "cwe_version", "release_date", F.explode(F.col(f"c.{listing}.{tag}")).alias("e")
         )
 
-    return reduce(DataFrame.unionByName, [elements(kind[0]) for kind in ENTRY_KINDS])
-
-
-def weakness_rows(elements: DataFrame) -> DataFrame:
-    """Typed rows of ``cwe_history`` from ``kind`` / ``fragment`` and the release."""
+        def attribute(name: str) -> Column:
+            value = unmarked(F.col(f"e._{name}"))
+            return F.when(value != "", value)
 
-    def optional(value: Column) -> Column:
-        return F.when(value != "", value)
-
-    def attribute(tag: str, name: str) -> Column:
-        return optional(F.xpath_string("fragment", F.lit(f"/{tag}/@{name}")))
-
-    def of_kind(tag: str, kind: str, text: str, relation: str) -> DataFrame:
-        nothing = F.lit(None).cast("string")
-        targets = F.xpath("fragment", F.lit(f"/{tag}/{relation}/@CWE_ID"))
-        if kind == "weakness":
-            natures = F.xpath("fragment", F.lit(f"/{tag}/{relation}/@Nature"))
-        else:
-            natures = F.transform(targets, lambda _: F.lit("HasMember"))
-        return elements.where(F.col("kind") == tag).select(
-            F.concat(F.lit("CWE-"), attribute(tag, "ID")).alias("cwe_id"),
+        related = F.col(f"e.{group}.{member}")
+        nature = (lambda r: r["_Nature"]) if kind == "weakness" else (lambda r: F.lit("HasMember"))
+        return entries.select(
+            F.concat(F.lit("CWE-"), attribute("ID")).alias("cwe_id"),
             F.lit(kind).alias("entry_type"),
-            attribute(tag, "Name").alias("name"),
-            (attribute(tag, "Abstraction") if kind == "weakness" else nothing).alias(
-                "abstraction"
-            ),
-            attribute(tag, "Status").alias("status"),
-            xml_text(F.col("fragment"), f"/{tag}/{text}").alias("description"),
+            attribute("Name").alias("name"),
+            (attribute("Abstraction") if kind == "weakness" else nothing).alias("abstraction"),
+            attribute("Status").alias("status"),
+            text_of_markup(F.col(f"e.{text}")).alias("description"),
             (
-                xml_text(F.col("fragment"), f"/{tag}/Likelihood_Of_Exploit")
-                if kind == "weakness"
-                else nothing
+                text_of_markup(F.col("e.Likelihood_Of_Exploit")) if kind == "weakness" else nothing
             ).alias("likelihood_of_exploit"),
-            weakness_relations(natures, targets).alias("relations"),
+            weakness_relations(
+                F.transform(related, nature), F.transform(related, lambda r: r["_CWE_ID"])
+            ).alias("relations"),
             "cwe_version",
             "release_date",
         )

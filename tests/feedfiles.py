@@ -25,6 +25,12 @@ def score_file(root, day, rows, *, model=None, percentile=True, folder="2024"):
     path.write_bytes(gzip.compress(("\n".join(lines) + "\n").encode()))
 
 
+def score_lines(root, day, lines):
+    path = root / "2024" / f"epss_scores-{day}.csv.gz"
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(gzip.compress(("\n".join(lines) + "\n").encode()))
+
+
 def record(root, cve, updated, *, title="t", adp=None, broken=False):
     body = {
         "cveMetadata": {"cveId": cve, "state": "PUBLISHED", "dateUpdated": updated},
