@@ -444,7 +444,7 @@ select o_orderkey as order_key, 'CVE-2024-' || o_custkey as cve,
        o_orderpriority as vendor_project,
        case when o_orderstatus = 'O' then 'note ' || o_custkey end as notes,
        'CWE-' || o_custkey as cwe, o_orderdate::date::varchar as date_added,
-       case when o_orderstatus <> 'P' then o_orderdate::date::varchar end as due_date
+       case when o_orderpriority <> '5-LOW' then o_orderdate::date::varchar end as due_date
 from orders
 union all
 select o_orderkey, 'CVE-2023-' || o_orderkey, 'second', null, '', null, null
@@ -460,8 +460,8 @@ def feed_known_exploited(spark: SparkSession, sf: str) -> DataFrame:
           'notes', if(o_orderstatus = 'O', concat('note ', o_custkey), ''),
           'cwes', array(concat(' cwe-', o_custkey), '  '),
           'dateAdded', date_format(o_orderdate, 'yyyy-MM-dd'),
-          'dueDate', date_format(o_orderdate,
-                                 if(o_orderstatus = 'P', 'yyyyMMdd', 'yyyy-MM-dd')))),
+          'dueDate', date_format(o_orderdate, case when o_orderpriority = '5-LOW' then 'yyyy-MM'
+                       when o_orderstatus = 'P' then 'yyyyMMdd' else 'yyyy-MM-dd' end))),
         ',{"cveID":"', if(o_orderstatus = 'F', concat('CVE-2024-', o_custkey),
                           concat('CVE-2023-', o_orderkey)),
         '","vendorProject":"second","notes":5},{"cveID":"BAD-', o_custkey, '"},"text"]}')

@@ -12,7 +12,7 @@ from hazardbook.functions.identifiers import (
     extract_identifiers,
     identifier_family,
 )
-from hazardbook.functions.jsontext import canonical_json, json_path, json_string
+from hazardbook.functions.jsontext import canonical_json, json_path, json_string, number_text
 from hazardbook.functions.markup import (
     frontmatter_block,
     frontmatter_entries,
@@ -633,6 +633,103 @@ def timestamp_normalisation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Forms of one moment, the offset in minutes to subtract, and the seconds they keep.
+_FORMS = (
+    ("date_format(t, \"yyyyMMdd'T'HHmmss'Z'\")", 0, "second"),
+    ("date_format(t, \"yyyy-MM-dd'T'HH\")", 0, "hour"),
+    ("date_format(t, \"yyyy-MM-dd HHmm\")", 0, "minute"),
+    ("date_format(t, \"yyyy-MM-dd'T'HH:mm:ss,5+02\")", 120, "half"),
+    ("date_format(t, \"yyyy-MM-dd_HH:mm:ss.1234567-0130\")", -90, "fraction"),
+    ("concat(iso_year, '-W', iso_week, '-', iso_day, date_format(t, \"'T'HH:mm:ss-00:30:15\"))", -30.25, "second"),
+    ("concat(iso_year, 'W', iso_week, iso_day)", 0, "day"),
+    ("concat(iso_year, '-W', iso_week)", 0, "week"),
+    ("date_format(t, \"yyyyMMdd'Z'\")", 0, "day"),
+    ("date_format(t, 'yyyy-DDD')", 0, None),
+    ("concat(year(t), '-W54')", 0, None),
+    ("date_format(t, \"yyyy-MM-dd'T'24:00:00\")", 0, None),
+    ("date_format(t, \"yyyy-MM-dd'T'HH:mmss\")", 0, None),
+    ("date_format(t, 'yyyy-MM')", 0, None),
+    ("date_format(t, \"yyyy-MM-dd'T'HH:mm:ss+0\")", 0, None),
+)
+_KEPT = {
+    "second": "t", "hour": "date_trunc('hour', t)", "minute": "date_trunc('minute', t)",
+    "half": "t + interval 500 milliseconds", "fraction": "t + interval 123456 microseconds",
+    "day": "date_trunc('day', t)", "week": "date_trunc('week', t)",
+}
+
+
+def _form_sql(form: int) -> str:
+    _, minutes, kept = _FORMS[form]
+    at = "null" if kept is None else f"{_KEPT[kept]} - to_seconds({int(minutes * 60)})"
+    day = "t::date" if form == 6 else "date_trunc('week', t)::date" if form == 7 else "null"
+    return f"select o_orderkey, {form} as form, ({at})::timestamp as at, ({day})::date::varchar as day from r"
+
+
+@register(
+    "iso_time_forms",
+    "with r as (select o_orderkey, o_orderdate + to_seconds(o_orderkey * 7919 + o_custkey) as t from orders)\n"
+    + "\nunion all\n".join(_form_sql(i) for i in range(len(_FORMS))),
+)
+def iso_time_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Compact, reduced and week forms, comma fractions and offsets of moments, and
+    texts that look like them but are none."""
+    moments = spread(table(spark, sf, "orders")).selectExpr(
+        "o_orderkey",
+        "o_orderdate + make_dt_interval(0, 0, 0, cast(o_orderkey * 7919 + o_custkey as decimal(18, 6))) as t",
+    ).selectExpr(
+        "*", "extract(YEAROFWEEK from t) as iso_year", "lpad(weekofyear(t), 2, '0') as iso_week",
+        "weekday(t) + 1 as iso_day",
+    )
+    forms = ", ".join(f"{i}, {text}" for i, (text, _, _) in enumerate(_FORMS))
+    texts = moments.selectExpr("o_orderkey", f"stack({len(_FORMS)}, {forms}) as (form, text)")
+    return texts.select(
+        "o_orderkey", "form", iso_timestamp(F.col("text")).alias("at"),
+        iso_date(F.col("text")).cast("string").alias("day"),
+    )
+
+
+@register(
+    "number_texts",
+    """
+select p_partkey, form, case form when 0 then p_retailprice when 1 then p_retailprice when 2 then p_size * 1000.0
+       when 3 then p_size / 10.0 when 4 then p_size * 100.0 end::double as number
+from part, (select unnest(range(9)) as form)""",
+)
+def number_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers as the feeds write them, and texts that only Java takes for numbers."""
+    texts = table(spark, sf, "part").selectExpr(
+        "p_partkey",
+        "stack(9, 0, string(p_retailprice), 1, concat(' +', p_retailprice, '\\n'), 2, concat(p_size, '_000'),"
+        " 3, concat(p_size, 'e-1'), 4, concat(p_size, '.E+2'), 5, concat(p_retailprice, 'd'),"
+        " 6, concat(p_retailprice, 'f'), 7, concat('0x', p_size), 8, concat(p_size, '__0')) as (form, text)",
+    )
+    return texts.select("p_partkey", "form", number_text(F.col("text")).alias("number"))
+
+
+@register(
+    "cvss_four_vectors",
+    """
+select c_custkey, form, case when form < 3 then '4.0' end as version
+from customer, (select unnest(range(9)) as form)""",
+)
+def cvss_four_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Well-formed CVSS 4.0 vectors, and ones with a metric that is missing, repeated,
+    unknown or out of range, or with an empty part."""
+    vectors = spread(table(spark, sf, "customer")).selectExpr(
+        "c_custkey",
+        "concat('/AV:', substr('NALP', 1 + c_custkey % 4, 1), '/AC:L/AT:N/PR:', substr('NLH', 1 + c_custkey % 3, 1),"
+        " '/UI:A/VC:H/VI:L/VA:N/SC:N/SI:N') as most",
+    ).selectExpr(
+        "c_custkey",
+        "stack(9, 0, concat('CVSS:4.0', most, '/SA:L'), 1, concat('CVSS:4.0/SA:L', most, '/E:A/MSI:S'),"
+        " 2, concat('CVSS:4.0', most, '/SA:L/U:Amber'), 3, concat('CVSS:4.0', most),"
+        " 4, concat('CVSS:4.0', most, '/SA:L/SA:L'), 5, concat('CVSS:4.0', most, '/SA:L/ZZ:N'),"
+        " 6, concat('CVSS:4.0', most, '/SA:S'), 7, concat('CVSS:4.0', most, '/SA:L/'),"
+        " 8, concat('CVSS:4.0', most, '/SA:L/U:Blue')) as (form, vector)",
+    )
+    return vectors.select("c_custkey", "form", vector_version(F.col("vector")).alias("version"))
+
+
 @register(
     "text_clean_up",
     """

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardbook.bindings.registry import register
 from hazardbook.bindings.world import base_tables, frames, over_world
 from hazardbook.operators.latest import as_of
 from hazardbook.plans import published
+from hazardbook.plans.provenance import COLUMNS, DATASETS
 from hazardbook.plans.views import register_views
 
 _TEXT_DATES = {"date", "fetched_date", "date_updated_day", "release_date", "source_date"}
@@ -254,6 +255,10 @@ def find_sources(spark: SparkSession, sf: str) -> DataFrame:
     return published.sources_of(frames(spark, sf), _ONE)
 
 
+_MOST_OPEN_SQL = """
+select cve from cve_ssvc_candidates group by cve order by count(*) desc, cve limit 1"""
+
+
 @register(
     "find_score_history",
     over_world(f"""
@@ -264,6 +269,39 @@ def find_score_history(spark: SparkSession, sf: str) -> DataFrame:
     return _texts(published.score_history(frames(spark, sf), _ONE), "date")
 
 
+def _in_order(ordered: DataFrame) -> DataFrame:
+    """Rows with their place in the order they are given in."""
+    placed = ordered.withColumn("at", F.monotonically_increasing_id())
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("at"))).drop("at")
+
+
+@register(
+    "score_history_in_order",
+    over_world(f"""
+select row_number() over (order by date desc) as place, cve, epss, date::varchar as date from epss
+where cve = '{_ONE}'"""),
+)
+def score_history_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest score first; the place makes the order part of the result."""
+    ordered = published.score_history(frames(spark, sf), _ONE)
+    return _texts(_in_order(ordered), "date").select("place", "cve", "epss", "date")
+
+
+@register(
+    "candidates_in_order",
+    over_world(f"""
+select row_number() over (order by decision_rank, mission_impact) as place, cve, decision_rank, mission_impact
+from cve_ssvc_candidates where cve = ({_MOST_OPEN_SQL})"""),
+)
+def candidates_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates of the record with the most of them, the least urgent decision first."""
+    v = frames(spark, sf)
+    counts = v["cve_ssvc_candidates"].groupBy("cve").count()
+    most = counts.orderBy(F.desc("count"), "cve").head()["cve"]
+    ordered = published.candidates_of(v, most).select("cve", "decision_rank", "mission_impact")
+    return _in_order(ordered)
+
+
 @register(
     "triage_rows",
     over_world("""
@@ -287,7 +325,7 @@ def find_candidates(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "partial_decision_lookup",
     over_world("""
-select c.cve, d.mission_impact, d.decisions[d.i] as decision
+select c.cve, d.mission_impact, d.decision
 from cve c join ssvc_decision d on c.exploitation = d.exploitation
 where d.exploitation = 'active' and d.automatable = 'yes'
   and d.technical_impact = 'total' and c.metric_type = 'ssvc'"""),
@@ -490,6 +528,33 @@ def sql_over_views(spark: SparkSession, sf: str) -> DataFrame:
     """)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_DATASETS_SQL = ",\n".join(f"({', '.join(map(_quoted, row))})" for row in DATASETS)
+
+
+@register(
+    "provenance_columns",
+    over_world(f"""
+select d.*, n as stored_rows from (values {_DATASETS_SQL}) d({", ".join(COLUMNS)}) join (
+  select 'epss' as name, count(*) as n from epss
+  union all select 'cve', count(*) from cve_history
+  union all select 'kev', count(*) from kev_history
+  union all select 'capec', count(*) from capec_history) using (name)"""),
+)
+def provenance_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column of the provenance view next to the rows that are stored."""
+    v = frames(spark, sf)
+    sized = None
+    for name in ("epss", "cve_history", "kev_history", "capec_history"):
+        rows = v[name].select(F.lit(name.removesuffix("_history")).alias("name"))
+        sized = rows if sized is None else sized.unionByName(rows)
+    counts = sized.groupBy("name").agg(F.count("*").alias("stored_rows"))
+    return v["datasets"].join(counts, "name")
+
+
 @register(
     "provenance_of_rows",
     over_world("""

@@ -484,26 +484,49 @@ left join (select cve, count(*) n from cloudflare_waf where not removed
            group by 1) w on k.cve = w.cve""",
     "ssvc_decision": """
 select * from (values
-  ('none', 'no', 'partial', ['track', 'track', 'track']),
-  ('none', 'no', 'total', ['track', 'track', 'track*']),
-  ('none', 'yes', 'partial', ['track', 'track', 'attend']),
-  ('none', 'yes', 'total', ['track', 'track', 'attend']),
-  ('public poc', 'no', 'partial', ['track', 'track', 'track*']),
-  ('public poc', 'no', 'total', ['track', 'track*', 'attend']),
-  ('public poc', 'yes', 'partial', ['track', 'track', 'attend']),
-  ('public poc', 'yes', 'total', ['track', 'track*', 'attend']),
-  ('active', 'no', 'partial', ['track', 'track', 'attend']),
-  ('active', 'no', 'total', ['track', 'attend', 'act']),
-  ('active', 'yes', 'partial', ['attend', 'attend', 'act']),
-  ('active', 'yes', 'total', ['attend', 'act', 'act'])
-) t(exploitation, automatable, technical_impact, decisions),
-(values (1, 'low'), (2, 'medium'), (3, 'high')) m(i, mission_impact)""",
+  ('none', 'no', 'partial', 'low', 'track'),
+  ('none', 'no', 'partial', 'medium', 'track'),
+  ('none', 'no', 'partial', 'high', 'track'),
+  ('none', 'no', 'total', 'low', 'track'),
+  ('none', 'no', 'total', 'medium', 'track'),
+  ('none', 'no', 'total', 'high', 'track*'),
+  ('none', 'yes', 'partial', 'low', 'track'),
+  ('none', 'yes', 'partial', 'medium', 'track'),
+  ('none', 'yes', 'partial', 'high', 'attend'),
+  ('none', 'yes', 'total', 'low', 'track'),
+  ('none', 'yes', 'total', 'medium', 'track'),
+  ('none', 'yes', 'total', 'high', 'attend'),
+  ('public poc', 'no', 'partial', 'low', 'track'),
+  ('public poc', 'no', 'partial', 'medium', 'track'),
+  ('public poc', 'no', 'partial', 'high', 'track*'),
+  ('public poc', 'no', 'total', 'low', 'track'),
+  ('public poc', 'no', 'total', 'medium', 'track*'),
+  ('public poc', 'no', 'total', 'high', 'attend'),
+  ('public poc', 'yes', 'partial', 'low', 'track'),
+  ('public poc', 'yes', 'partial', 'medium', 'track'),
+  ('public poc', 'yes', 'partial', 'high', 'attend'),
+  ('public poc', 'yes', 'total', 'low', 'track'),
+  ('public poc', 'yes', 'total', 'medium', 'track*'),
+  ('public poc', 'yes', 'total', 'high', 'attend'),
+  ('active', 'no', 'partial', 'low', 'track'),
+  ('active', 'no', 'partial', 'medium', 'track'),
+  ('active', 'no', 'partial', 'high', 'attend'),
+  ('active', 'no', 'total', 'low', 'track'),
+  ('active', 'no', 'total', 'medium', 'attend'),
+  ('active', 'no', 'total', 'high', 'act'),
+  ('active', 'yes', 'partial', 'low', 'attend'),
+  ('active', 'yes', 'partial', 'medium', 'attend'),
+  ('active', 'yes', 'partial', 'high', 'act'),
+  ('active', 'yes', 'total', 'low', 'attend'),
+  ('active', 'yes', 'total', 'medium', 'act'),
+  ('active', 'yes', 'total', 'high', 'act')
+) t(exploitation, automatable, technical_impact, mission_impact, decision)""",
     "cve_ssvc_candidates": """
 select s.cve, d.exploitation, d.automatable, d.technical_impact, d.mission_impact,
        s.mission_impact as recorded_mission_impact, s.recorded_decision,
-       d.decisions[d.i] as computed_decision,
-       s.recorded_decision = d.decisions[d.i] as decision_matches,
-       list_position(['track', 'track*', 'attend', 'act'], d.decisions[d.i])
+       d.decision as computed_decision,
+       s.recorded_decision = d.decision as decision_matches,
+       list_position(['track', 'track*', 'attend', 'act'], d.decision)
            as decision_rank
 from cve s join ssvc_decision d
   on s.exploitation = d.exploitation and s.automatable = d.automatable

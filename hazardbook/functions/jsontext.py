@@ -15,13 +15,25 @@ def json_string(value: Column, path: str) -> Column:
     return F.when((F.schema_of_variant(field) == "STRING") & (text != ""), text)
 
 
+_DIGITS = "[0-9](?:_?[0-9])*"
+_NUMBER = (
+    f"^[+-]?(?:(?:{_DIGITS}(?:[.](?:{_DIGITS})?)?|[.]{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    "|(?i:nan|inf|infinity))$"
+)
+
+
+def number_text(text: Column) -> Column:
+    """The double that a text writes, else NULL. Java's suffixes (``9.8d``) are no numbers;
+    an underscore may stand between digits."""
+    value = strip(text)
+    return F.when(value.rlike(_NUMBER), F.replace(value, F.lit("_"), F.lit(""))).try_cast("double")
+
+
 def json_number(value: Column, path: str) -> Column:
     """Number or numeric string as double; booleans and other types -> NULL."""
     kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
-    text = strip(F.try_variant_get(value, path, "string"))
-    return F.when(~kind.isin("BOOLEAN") & ~kind.rlike("^(ARRAY|OBJECT)"), text).try_cast(
-        "double"
-    )
+    text = F.try_variant_get(value, path, "string")
+    return number_text(F.when(~kind.isin("BOOLEAN") & ~kind.rlike("^(ARRAY|OBJECT)"), text))
 
 
 def json_true(value: Column, path: str) -> Column:

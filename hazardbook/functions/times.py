@@ -7,34 +7,80 @@ from pyspark.sql import functions as F
 
 from hazardbook.functions.strings import strip
 
-_ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_ISO_TIMESTAMP = (
+_USUAL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_USUAL_TIMESTAMP = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
 )
 _OFFSET = r"[0-9]{2}:[0-9]{2}.*([+-][0-9]{2}:?[0-9]{2})$"
 
+# ISO-8601 in full: calendar or week dates, with or without separators; then any one
+# character and a time that may stop after the hour or the minute, an offset likewise.
+_DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}-W[0-9]{2}(?:-[0-9](?![0-9]))?|[0-9]{4}W[0-9]{2}[0-9]?|[0-9]{8}"
+_HOUR, _SIXTY, _PART = "(?:[01][0-9]|2[0-3])", "[0-5][0-9]", "(?:[.,][0-9]+)?"
+_TIME = f"(?:{_HOUR}(?::{_SIXTY}(?::{_SIXTY}{_PART})?)?|{_HOUR}{_SIXTY}(?:{_SIXTY}{_PART})?)"
+_WHOLE = f"(?s)^(?:{_DAY})(?:[^0-9]{_TIME}(?:Z|[+-]{_TIME})?|Z)?$"
+
+
+def _seconds(time: Column) -> Column:
+    """A time of day as an interval; parts that are left out are zero."""
+    digits = F.rpad(F.regexp_replace(F.regexp_extract(time, "^([0-9:]*)", 1), ":", ""), 6, "0")
+    micros = F.rpad(F.regexp_extract(time, "[.,]([0-9]{1,6})", 1), 6, "0")
+
+    def two(at: int) -> Column:
+        return F.substring(digits, at, 2).try_cast("int")
+
+    whole = F.concat(F.substring(digits, 5, 2), F.lit("."), micros).try_cast("decimal(8,6)")
+    return F.make_dt_interval(hours=two(1), mins=two(3), secs=whole)
+
+
+def _calendar_day(text: Column) -> Column:
+    """A date in any of the forms of ``_DAY``. Week 53 of a year without one is no date."""
+    dashed = F.regexp_replace(text, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    year = F.substring(text, 1, 4).try_cast("int")
+    week = F.regexp_extract(text, "W([0-9]{2})", 1).try_cast("int")
+    weekday = F.coalesce(F.regexp_extract(text, "W[0-9]{2}-?([0-9])$", 1).try_cast("int"), F.lit(1))
+    fourth = F.when(year > 0, F.make_date(year, F.lit(1), F.lit(4)))  # always in week 1
+    monday = F.date_add(F.trunc(fourth, "week"), (week - 1) * 7)
+    real = (F.weekofyear(monday) == week) & weekday.between(1, 7)
+    of_week = F.when(real, F.date_add(monday, weekday - 1))
+    return F.when(F.contains(text, F.lit("W")), of_week).otherwise(dashed.try_cast("date"))
+
+
+def _any_timestamp(text: Column) -> Column:
+    """Any ISO-8601 text to a zone-less UTC timestamp."""
+    whole = F.when(text.rlike(_WHOLE), text)
+    day = F.regexp_extract(whole, f"^({_DAY})", 1)
+    rest = F.substring(whole, F.length(day) + 2, F.length(whole))  # after the separator
+    signed = F.regexp_extract(rest, "([+-])", 1)
+    offset = _seconds(F.regexp_extract(rest, "[+-](.*)$", 1))
+    at = _calendar_day(day).cast("timestamp_ntz") + _seconds(F.regexp_extract(rest, "^([0-9:.,]*)", 1))
+    return F.when(signed == "+", at - offset).when(signed == "-", at + offset).otherwise(at)
+
 
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text to a zone-less UTC timestamp, NULL when it is not one.
 
     The wall-clock part is cast without a zone and the offset is subtracted, so a
     session time zone other than UTC gives the same answer. The usual text ends in
-    ``Z`` and skips the offset.
+    ``Z`` and skips the offset; rare forms are taken apart.
     """
-    wall = F.when(text.rlike(_ISO_TIMESTAMP), text).try_cast("timestamp_ntz")
+    wall = text.try_cast("timestamp_ntz")
     offset = F.replace(F.regexp_extract(text, _OFFSET, 1), F.lit(":"))
     hours = F.substring(offset, 1, 3).try_cast("int")
     minutes = F.concat(F.substring(offset, 1, 1), F.substring(offset, 4, 2)).try_cast("int")
     shifted = wall - F.make_dt_interval(hours=hours, mins=minutes)
-    return F.when(text.endswith("Z") | ~text.rlike(_OFFSET), wall).otherwise(shifted)
+    usual = F.when(text.endswith("Z") | ~text.rlike(_OFFSET), wall).otherwise(shifted)
+    return F.coalesce(F.when(text.rlike(_USUAL_TIMESTAMP), usual), _any_timestamp(text))
 
 
 def iso_date(text: Column, *, trim: bool = False) -> Column:
-    """``YYYY-MM-DD`` text to a date. The shape is checked first because a plain
-    cast would also accept ``2024`` and ``2024-1-1``."""
+    """ISO-8601 calendar or week date to a date. The shape is checked first because a
+    plain cast would also accept ``2024`` and ``2024-1-1``."""
     value = strip(text) if trim else text
-    return F.when(value.rlike(_ISO_DATE), value).try_cast("date")
+    return F.when(value.rlike(_USUAL_DATE), value.try_cast("date")).when(
+        value.rlike(f"^(?:{_DAY})$"), _calendar_day(value)
+    )
 
 
 def first_iso_date(text: Column) -> Column:

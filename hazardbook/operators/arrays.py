@@ -11,6 +11,7 @@ from hazardbook.operators.skew import own_shuffle
 
 _ITEM = "__item"
 _MATCH = "__match"
+_FOUND = "__found"
 
 
 def where_contains(df: DataFrame, array: str, value) -> DataFrame:
@@ -52,9 +53,8 @@ def join_on_item(
     sizes it measures.
 
     ``how="left"`` also keeps left rows without any match, once. It needs ``row_key``,
-    columns that identify a left row and are never NULL: matches are found on those
-    narrow columns and the full rows are joined back by key, so they are never
-    multiplied by the length of their arrays.
+    columns that identify a left row and are never NULL: a row's matches are gathered
+    again by its key, so the left side is read once. A row holds its own matches only.
     """
     right = right.withColumn(_MATCH, own_shuffle(F.col(item)))
     if how == "inner":
@@ -64,10 +64,11 @@ def join_on_item(
         raise ValueError(f"unsupported join type {how!r}")
     if not row_key:
         raise ValueError("a left array join needs the key of a left row")
-    expanded = left.select(
-        *[F.col(c).alias(f"__key_{c}") for c in row_key],
-        F.explode(F.array_distinct(F.col(array))).alias(_ITEM),
+    found = F.when(F.col(_MATCH).isNotNull(), F.struct(*[c for c in right.columns if c != _MATCH]))
+    expanded = left.withColumn(_ITEM, F.explode_outer(F.array_distinct(F.col(array))))
+    joined = expanded.join(right, F.col(_ITEM) == F.col(_MATCH), "left")
+    rest = [c for c in left.columns if c not in row_key]
+    rows = joined.groupBy(*row_key).agg(
+        *[F.any_value(c).alias(c) for c in rest], F.collect_list(found).alias(_FOUND)
     )
-    matches = expanded.join(right, F.col(_ITEM) == F.col(_MATCH)).drop(_ITEM, _MATCH)
-    same_row = [F.col(c) == F.col(f"__key_{c}") for c in row_key]
-    return left.join(matches, same_row, "left").drop(*[f"__key_{c}" for c in row_key])
+    return rows.select(*left.columns, F.inline_outer(_FOUND))

@@ -14,25 +14,48 @@ PROVIDER_SHORT_NAME = "CISA-ADP"
 ROLE = "CISA Coordinator"
 VERSION = "2.0.3"
 
-# The decision table. Each line is exploitation, automatable and technical
-# impact, followed by the decisions for a low, medium and high mission impact.
-DECISIONS = """
-none       | no  | partial | track  track  track
-none       | no  | total   | track  track  track*
-none       | yes | partial | track  track  attend
-none       | yes | total   | track  track  attend
-public poc | no  | partial | track  track  track*
-public poc | no  | total   | track  track* attend
-public poc | yes | partial | track  track  attend
-public poc | yes | total   | track  track* attend
-active     | no  | partial | track  track  attend
-active     | no  | total   | track  attend act
-active     | yes | partial | attend attend act
-active     | yes | total   | attend act    act
-"""
+# The decision table. Exploitation, automatable, technical impact, mission
+# impact and the decision.
+DECISIONS = (
+    ("none", "no", "partial", "low", "track"),
+    ("none", "no", "partial", "medium", "track"),
+    ("none", "no", "partial", "high", "track"),
+    ("none", "no", "total", "low", "track"),
+    ("none", "no", "total", "medium", "track"),
+    ("none", "no", "total", "high", "track*"),
+    ("none", "yes", "partial", "low", "track"),
+    ("none", "yes", "partial", "medium", "track"),
+    ("none", "yes", "partial", "high", "attend"),
+    ("none", "yes", "total", "low", "track"),
+    ("none", "yes", "total", "medium", "track"),
+    ("none", "yes", "total", "high", "attend"),
+    ("public poc", "no", "partial", "low", "track"),
+    ("public poc", "no", "partial", "medium", "track"),
+    ("public poc", "no", "partial", "high", "track*"),
+    ("public poc", "no", "total", "low", "track"),
+    ("public poc", "no", "total", "medium", "track*"),
+    ("public poc", "no", "total", "high", "attend"),
+    ("public poc", "yes", "partial", "low", "track"),
+    ("public poc", "yes", "partial", "medium", "track"),
+    ("public poc", "yes", "partial", "high", "attend"),
+    ("public poc", "yes", "total", "low", "track"),
+    ("public poc", "yes", "total", "medium", "track*"),
+    ("public poc", "yes", "total", "high", "attend"),
+    ("active", "no", "partial", "low", "track"),
+    ("active", "no", "partial", "medium", "track"),
+    ("active", "no", "partial", "high", "attend"),
+    ("active", "no", "total", "low", "track"),
+    ("active", "no", "total", "medium", "attend"),
+    ("active", "no", "total", "high", "act"),
+    ("active", "yes", "partial", "low", "attend"),
+    ("active", "yes", "partial", "medium", "attend"),
+    ("active", "yes", "partial", "high", "act"),
+    ("active", "yes", "total", "low", "attend"),
+    ("active", "yes", "total", "medium", "act"),
+    ("active", "yes", "total", "high", "act"),
+)
 # Decisions from the least to the most urgent.
 RANKED_DECISIONS = ("track", "track*", "attend", "act")
-MISSION_IMPACTS = ("low", "medium", "high")
 
 PARAMETERS = ("exploitation", "automatable", "technical_impact", "mission_impact")
 TABLE_SCHEMA = (
@@ -43,24 +66,20 @@ TABLE_SCHEMA = (
 
 
 def decision_rows() -> list[dict[str, object]]:
-    rows = []
-    for line in DECISIONS.strip().splitlines():
-        exploitation, automatable, technical, decisions = map(str.strip, line.split("|"))
-        for mission, decision in zip(MISSION_IMPACTS, decisions.split(), strict=True):
-            rows.append(
-                {
-                    "ssvc_version": VERSION,
-                    "ssvc_role": ROLE,
-                    "exploitation": exploitation,
-                    "automatable": automatable,
-                    "technical_impact": technical,
-                    "mission_impact": mission,
-                    "decision": decision,
-                    "decision_label": decision.capitalize(),
-                    "decision_rank": RANKED_DECISIONS.index(decision) + 1,
-                }
-            )
-    return rows
+    return [
+        {
+            "ssvc_version": VERSION,
+            "ssvc_role": ROLE,
+            "exploitation": exploitation,
+            "automatable": automatable,
+            "technical_impact": technical,
+            "mission_impact": mission,
+            "decision": decision,
+            "decision_label": decision.capitalize(),
+            "decision_rank": RANKED_DECISIONS.index(decision) + 1,
+        }
+        for exploitation, automatable, technical, mission, decision in DECISIONS
+    ]
 
 
 def decision_table(spark: SparkSession) -> DataFrame:
@@ -81,13 +100,9 @@ _METRIC = (
 )
 
 
-def assessments(records: DataFrame, *, repeated_records: bool) -> DataFrame:
-    """Assessments inside the ``raw`` text of vulnerability records.
-
-    One row per record and distinct metric fragment. Everything happens inside the row
-    without a shuffle. Only where one (cve, date_updated) may be stored more than once,
-    as in a history, ``repeated_records`` merges equal rows across records.
-    """
+def with_fragments(records: DataFrame) -> DataFrame:
+    """``cve``, ``date_updated`` and the metric ``fragments`` of the provider, cut out of the
+    ``raw`` text of records. Whatever is exchanged later is a fragment, never a record."""
     added = F.from_json("raw", f"containers struct<adp:{_ADDED}>")["containers"]["adp"]
     from_provider = F.filter(
         added,
@@ -108,9 +123,19 @@ def assessments(records: DataFrame, *, repeated_records: bool) -> DataFrame:
             ),
         )
     )
-    metrics = records.select(
-        "cve", "date_updated", F.inline(F.array_distinct(fragments))
-    ).withColumn("m", F.from_json("ssvc_raw", _METRIC))
+    return records.select("cve", "date_updated", F.array_distinct(fragments).alias("fragments"))
+
+
+def assessments(cut: DataFrame, *, repeated_records: bool) -> DataFrame:
+    """Assessments inside the fragments of records (``with_fragments``).
+
+    One row per record and distinct metric fragment. Everything happens inside the row
+    without a shuffle. Only where one (cve, date_updated) may be stored more than once,
+    as in a history, ``repeated_records`` merges equal rows across records.
+    """
+    metrics = cut.select("cve", "date_updated", F.inline("fragments")).withColumn(
+        "m", F.from_json("ssvc_raw", _METRIC)
+    )
     content = F.col("m.other.content")
     wanted = metrics.where(
         (F.lower(F.col("m.other.type")) == "ssvc") & (content["role"] == ROLE)

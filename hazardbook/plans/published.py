@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardbook.operators.arrays import count_per_item, join_on_item, where_contains
-from hazardbook.operators.latest import latest_per_key, record_history
+from hazardbook.operators.latest import record_history
+from hazardbook.operators.presence import presence_matrix
+from hazardbook.plans.views import mention_sources
 
 Views = Mapping[str, DataFrame]
 
@@ -30,19 +32,33 @@ def score_history(v: Views, cve: str) -> DataFrame:
 
 
 def latest_scores(scores: DataFrame) -> DataFrame:
-    return latest_per_key(scores, ["cve"], "date").select("cve", "epss", "percentile")
+    """Newest score of every record. Only doubles and a date are kept per key, so this is a
+    hash aggregation with partial results; the largest table is neither sorted nor
+    exchanged whole."""
+    return scores.groupBy("cve").agg(
+        F.max_by("epss", "date").alias("epss"), F.max_by("percentile", "date").alias("percentile")
+    )
 
 
 def triage(v: Views) -> DataFrame:
-    """One triage row per record; filter on ``cve`` to look at one."""
+    """One triage row per record; filter on ``cve`` to look at one.
+
+    Whether a record has scores or is a record is not asked, so the presence matrix is
+    made without these two datasets: scores are read once.
+    """
     flags = ["has_ghsa", "has_exploitdb", "has_nuclei", "has_kev", "has_cloudflare_waf"]
+    names = ("ghsa", "exploitdb", "nuclei", "kev", "cloudflare_waf")
+    known = presence_matrix(mention_sources(*[v[name] for name in names]), "cve")
     return (
         v["cve"]
         .select("cve", "title", "cvss", "cvss_severity")
-        .join(v["cve_sources"].select("cve", *flags), "cve", "left")
+        .join(known.select("cve", *flags), "cve", "left")
         .join(latest_scores(v["epss"]), "cve", "left")
-        .select("cve", "title", "cvss", "cvss_severity", "epss", "percentile", *flags)
-    )
+        .select(
+            "cve", "title", "cvss", "cvss_severity", "epss", "percentile",
+            *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
+        )
+    )
 
 
 def candidates_of(v: Views, cve: str) -> DataFrame:

@@ -14,6 +14,7 @@ from hazardbook.plans.assessments import (
     assessments,
     decision_candidates,
     decision_table,
+    with_fragments,
 )
 from hazardbook.plans.provenance import datasets
 from hazardbook.schemas import TABLES
@@ -33,42 +34,41 @@ def latest_view(tables: Tables, history: str) -> DataFrame:
     return latest_per_key(tables[history], rules.key, rules.order)
 
 
-def record_sources(
-    scores: DataFrame,
-    records: DataFrame,
+def mention_sources(
     advisories: DataFrame,
     exploits: DataFrame,
     templates: DataFrame,
     exploited: DataFrame,
     mentions: DataFrame,
-) -> DataFrame:
-    """Which datasets know a vulnerability. Withdrawn rows do not count.
-
-    ``records`` may be the history: any version of a record makes it present, so the
-    widest table is not reduced to its newest rows for this.
-    """
+) -> list[Source]:
+    """Datasets that name vulnerabilities of others. Withdrawn rows do not count."""
     in_exploits = exploits.select(F.explode("cve").alias("cve")).where("cve is not null")
     in_templates = (
         templates.where(~F.col("removed"))
         .select(F.explode("cve").alias("cve"))
         .where("cve is not null")
     )
-    return presence_matrix(
-        [
-            Source("epss", scores.select("cve"), "epss_days"),
-            Source("cve", records.select("cve")),
-            Source("ghsa", advisories.where("cve is not null").select("cve"), "ghsa_count"),
-            Source("exploitdb", in_exploits, "exploitdb_count"),
-            Source("nuclei", in_templates, "nuclei_count"),
-            Source("kev", exploited.where(~F.col("removed")).select("cve")),
-            Source(
-                "cloudflare_waf",
-                mentions.where(F.col("cve").isNotNull() & ~F.col("removed")).select("cve"),
-                "cloudflare_waf_count",
-            ),
-        ],
-        "cve",
-    )
+    return [
+        Source("ghsa", advisories.where("cve is not null").select("cve"), "ghsa_count"),
+        Source("exploitdb", in_exploits, "exploitdb_count"),
+        Source("nuclei", in_templates, "nuclei_count"),
+        Source("kev", exploited.where(~F.col("removed")).select("cve")),
+        Source(
+            "cloudflare_waf",
+            mentions.where(F.col("cve").isNotNull() & ~F.col("removed")).select("cve"),
+            "cloudflare_waf_count",
+        ),
+    ]
+
+
+def record_sources(scores: DataFrame, records: DataFrame, *mentioning: DataFrame) -> DataFrame:
+    """Which datasets know a vulnerability; ``mentioning`` as in ``mention_sources``.
+
+    ``records`` may be the history: any version of a record makes it present, so the
+    widest table is not reduced to its newest rows for this.
+    """
+    own = [Source("epss", scores.select("cve"), "epss_days"), Source("cve", records.select("cve"))]
+    return presence_matrix([*own, *mention_sources(*mentioning)], "cve")
 
 
 def weakness_attack_patterns(patterns: DataFrame, techniques: DataFrame) -> DataFrame:
@@ -86,7 +86,9 @@ def weakness_attack_patterns(patterns: DataFrame, techniques: DataFrame) -> Data
         .withColumn("cwe", F.explode("cwe"))
         .withColumn("technique", F.explode_outer("attack"))
     )
-    return links.join(enterprise, F.col("technique") == F.col("attack_id"), "left").select(
+    # Patterns without a technique are spread by their own id, not gathered under a null.
+    wanted = F.coalesce("technique", F.concat(F.lit("no technique of "), "capec_id"))
+    return links.join(enterprise, wanted == F.col("attack_id"), "left").select(
         "cwe",
         "capec_id",
         "capec_name",
@@ -109,9 +111,12 @@ def build_views(spark: SparkSession, tables: Tables) -> LazyMap[DataFrame]:
         "datasets": lambda: datasets(spark),
         "ssvc_decision": lambda: decision_table(spark),
         "cve_ssvc_history": lambda: assessments(
-            tables["cve_history"], repeated_records=True
+            with_fragments(tables["cve_history"]), repeated_records=True
+        ),
+        "cve_ssvc": lambda: assessments(
+            latest_per_key(with_fragments(tables["cve_history"]), ["cve"], "date_updated"),
+            repeated_records=False,
         ),
-        "cve_ssvc": lambda: assessments(views["cve"], repeated_records=False),
         "cve_ssvc_candidates": lambda: decision_candidates(views["cve_ssvc"]),
         "cve_sources": lambda: record_sources(
             tables["epss"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import html
 import itertools
 from datetime import date, datetime
@@ -187,42 +188,88 @@ def test_optional_metrics_and_any_order(spark):
     assert values(spark, [four], cvss.vector_version) == ["4.0"]
 
 
-def _fold(affected):
-    """Event by event, as the feed defines it."""
-    out = []
-    for entry in affected:
-        name = entry["package"]["name"]
-        mine = []
-        for rng in entry["ranges"] or []:
-            current = None
-            for event in rng["events"]:
-                if event.get("introduced"):
-                    current = [name, event["introduced"], None, None]
-                    mine.append(current)
-                elif current and event.get("fixed"):
-                    current[2] = event["fixed"]
-                elif current and event.get("last_affected"):
-                    current[3] = event["last_affected"]
-        out += mine or [[name, None, None, None]]
-    return [tuple(x) for x in out]
-
-
-def test_affected_ranges_against_brute_force(spark):
-    kinds = ("introduced", "fixed", "last_affected")
-    cases = []
-    for n in range(5):
-        for combo in itertools.product(kinds, repeat=n):
-            events = [{k: f"{j}"} for j, k in enumerate(combo)]
-            cases.append([
-                {"package": {"ecosystem": "e", "name": "p"}, "ranges": [{"events": events}, {"events": events[::-1]}]},
-                {"package": {"ecosystem": "e", "name": "q"}, "ranges": None},
-            ])
+# Events of a range (i introduced, f fixed, l last affected, numbered from 0) and the ranges
+# they mean: (introduced, fixed, last affected).
+RANGES = {
+    "": [(None, None, None)],
+    "i": [("0", None, None)],
+    "f": [(None, None, None)],
+    "l": [(None, None, None)],
+    "if": [("0", "1", None)],
+    "il": [("0", None, "1")],
+    "ii": [("0", None, None), ("1", None, None)],
+    "fi": [("1", None, None)],
+    "li": [("1", None, None)],
+    "ifl": [("0", "1", "2")],
+    "iff": [("0", "2", None)],
+    "ill": [("0", None, "2")],
+    "ifi": [("0", "1", None), ("2", None, None)],
+    "fif": [("1", "2", None)],
+    "ifif": [("0", "1", None), ("2", "3", None)],
+    "ilil": [("0", None, "1"), ("2", None, "3")],
+    "iifl": [("0", None, None), ("1", "2", "3")],
+    "lfil": [("2", None, "3")],
+}
+KINDS = {"i": "introduced", "f": "fixed", "l": "last_affected"}
+
+
+def test_affected_ranges(spark):
     event = "struct<introduced:string,fixed:string,last_affected:string>"
     kind = (
         "array<struct<package:struct<ecosystem:string,name:string>,"
         f"ranges:array<struct<events:array<{event}>>>>>"
     )
+
+    def ranges(letters):
+        return [{"events": [{KINDS[x]: str(i)} for i, x in enumerate(letters)]}]
+
+    package = {"ecosystem": "e", "name": "p"}
+    cases = [[{"package": package, "ranges": ranges(letters)}] for letters in RANGES]
     built = values(spark, cases, nested.affected_ranges, kind)
-    plain = [[(r.package, r.introduced, r.fixed, r.last_affected) for r in row] for row in built]
-    assert plain == [_fold(case) for case in cases]
-    assert values(spark, [None], nested.affected_ranges, kind) == [[]]
+    plain = [[(r.introduced, r.fixed, r.last_affected) for r in row] for row in built]
+    assert plain == list(RANGES.values())
+    two = [{"package": package, "ranges": ranges("if") + ranges("il")},
+           {"package": {"ecosystem": "e", "name": "q"}, "ranges": None}]
+    built = values(spark, [two, None], nested.affected_ranges, kind)
+    assert [(r.package, r.introduced, r.fixed, r.last_affected) for r in built[0]] == [
+        ("p", "0", "1", None), ("p", "0", None, "1"), ("q", None, None, None)]
+    assert built[1] == []
+
+
+def test_iso_forms(spark):
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5)
+    accepted = {
+        "20240102T030405Z": moment,
+        "2024-01-02T03": dt.datetime(2024, 1, 2, 3),
+        "2024-01-02 0304": dt.datetime(2024, 1, 2, 3, 4),
+        "2024-01-02T03:04:05,5Z": dt.datetime(2024, 1, 2, 3, 4, 5, 500000),
+        "2024-01-02T03:04:05.1234567+01": dt.datetime(2024, 1, 2, 2, 4, 5, 123456),
+        "2024-W01-1": dt.datetime(2024, 1, 1),
+        "2024W011T03:04": dt.datetime(2024, 1, 1, 3, 4),
+        "2020-W53": dt.datetime(2020, 12, 28),
+        "2021-W01": dt.datetime(2021, 1, 4),
+        "20240102": dt.datetime(2024, 1, 2),
+        "2024-01-02Z": dt.datetime(2024, 1, 2),
+        "2024-01-02x03:04:05-00:00:05": dt.datetime(2024, 1, 2, 3, 4, 10),
+        "2024-01-02T23:00-0130": dt.datetime(2024, 1, 3, 0, 30),
+    }
+    rejected = ["2021-W53", "2024-W00", "2024-W01-8", "2024-W01-0", "2024-013", "2024-01", "2024", "2024-1-2", "2024-02-30",
+                "2024-01-02T24:00", "2024-01-02T03:0405", "2024-01-02T3", "2024-01-02T03:04:05z", "2024-01-02T03:04:05+1",
+                "2024-01-02T", "", " 2024-01-02", "2024-01-02T03:04:60", "2024-01-02T03:04:05.Z", None]
+    assert values(spark, [*accepted, *rejected], times.iso_timestamp) == [*accepted.values(), *[None] * len(rejected)]
+    dates = {"20240102": dt.date(2024, 1, 2), "2024-W01-1": dt.date(2024, 1, 1), "2024W01": dt.date(2024, 1, 1), "2024-02-29": dt.date(2024, 2, 29)}
+    wrong = ["2023-02-29", "20230229", "2024-01-02T03", "2024-W54-1", "2024", "202401", None]
+    assert values(spark, [*dates, *wrong], times.iso_date) == [*dates.values(), *[None] * len(wrong)]
+
+
+def test_number_texts(spark):
+    texts = ["1.5", " 2 ", "1_000", "1e3", ".5", "5.", "-0", "inf", "9.8d", "9.8f", "0x1", "1__0", "_1", "1e", "", "x", None]
+    numbers = [1.5, 2.0, 1000.0, 1000.0, 0.5, 5.0, 0.0, float("inf"), *[None] * 9]
+    assert values(spark, texts, jsontext.number_text) == numbers
+
+
+def test_malformed_v4_vectors_have_no_version(spark):
+    four = "CVSS:4.0/AV:N/AC:L/AT:N/PR:N/UI:N/VC:H/VI:H/VA:H/SC:N/SI:N/SA:N"
+    good = [four, four + "/E:A/U:Red/MSI:S", "CVSS:4.0/SA:N" + four[8:].replace("/SA:N", "")]
+    bad = [four[: -len("/SA:N")], four + "/SA:N", four + "/", four + "/E:Q", four + "/ZZ:N", four.replace("AV:N", "AV:X"), four.replace("4.0", "4.1")]
+    assert values(spark, good + bad, cvss.vector_version) == ["4.0"] * 3 + [None] * 7

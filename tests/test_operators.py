@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import date
 
@@ -228,3 +229,49 @@ def test_hot_array_item_is_split(spark, hot, eager_splitting):
     rows = joined.collect()
     assert len(rows) == 60_000
     assert "skew=true" in plan_of(joined)
+
+
+def test_latest_scores_are_a_hash_aggregation(spark, hot):
+    scores = hot.selectExpr("concat('CVE-', k) AS cve", "v / 7 AS epss", "v / 9 AS percentile", "date_add(date'2020-01-01', cast(t as int)) AS date")
+    newest = published.latest_scores(scores)
+    plan = plan_of(newest)
+    assert "HashAggregate" in plan
+    assert not any(word in plan for word in ("Sort ", "SortAggregate", "Window", "ObjectHashAggregate"))
+    by_window = latest.latest_per_key(scores, ["cve"], "date").select("cve", "epss", "percentile")
+    assert sorted(newest.collect()) == sorted(by_window.collect())
+
+
+def test_left_array_join_reads_its_left_side_once(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "if(id % 4 = 0, null, array(id, id, id + 1, 1000)) AS items").write.parquet(str(tmp_path / "l"))
+    left = spark.read.parquet(str(tmp_path / "l"))
+    right = spark.range(0, 50, 2).selectExpr("id AS item", "id * 10 AS found")
+    joined = arrays.join_on_item(left, right, "items", "item", how="left", row_key=["k"])
+    assert plan_of(joined).count("FileScan parquet") == 1
+    expected = []
+    for k in range(100):
+        items = [] if k % 4 == 0 else [i for i in (k, k + 1) if i % 2 == 0 and i < 50]
+        expected += [(k, i, i * 10) for i in items] or [(k, None, None)]
+    assert sorted(map(repr, expected)) == sorted(repr((r.k, r.item, r.found)) for r in joined.collect())
+
+
+def test_raw_text_is_in_no_exchange(spark, tmp_path):
+    table = empty_table(spark, SCHEMAS["cve_history"])
+    table.write.parquet(str(tmp_path / "h"))
+    tables = {name: empty_table(spark, ddl) for name, ddl in SCHEMAS.items()}
+    tables["cve_history"] = spark.read.schema(SCHEMAS["cve_history"]).parquet(str(tmp_path / "h"))
+    plan = plan_of(build_views(spark, tables)["cve_ssvc"])
+    whole = re.compile(r"(?<!ssvc_)raw#")
+    above, below = plan[: plan.index("Exchange")], plan[plan.index("Exchange") :]
+    assert whole.search(below) and not whole.search(above)
+    exchanged = below[: below.index("FileScan")].splitlines()
+    assert sum(bool(whole.search(line)) for line in exchanged) <= 1  # where fragments are cut out
+    assert not any(whole.search(line) for line in exchanged if "Exchange" in line or "Sort" in line)
+
+
+def test_triage_reads_scores_once(spark, tmp_path):
+    tables = {name: empty_table(spark, ddl) for name, ddl in SCHEMAS.items()}
+    for name in ("epss", "cve_history"):
+        tables[name].write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.schema(SCHEMAS[name]).parquet(str(tmp_path / name))
+    v = {**tables, **build_views(spark, tables)}
+    assert plan_of(published.triage(v)).count("FileScan parquet") == 2
