@@ -14,7 +14,7 @@ from hazardbook.llm.common import held_out, whole
 from hazardbook.session import stage
 
 SHARDS = 40
-# Bytes a splitter may be off, of a shard's; the rest of the search costs more than it gains.
+# Share of a shard's bytes that a splitter may be off; at 0 the search goes on to the end.
 TOLERANCE = 0.0
 
 
