@@ -13,13 +13,14 @@ Candidates are verified on the sets.
 In large bands a subset without elements does not sign, for it would gather unrelated
 sets. A link is lost only if hashing leaves all elements of every such group in one part:
 under 1e-4 for a pair at the very bound of the smallest of these bands, under 1e-8 from
-200 shingles on, and less for any nearer pair.
+200 shingles on, and less for any nearer pair; all else is exact.
 
 Equal sets are one node. A signature links its nodes to two leaders first; the rest is
 verified only between different components, so a group of copies never becomes all its
-pairs. Of those pairs, the ones whose distance must be too large are left out first: the
-differences of the sets' counts in some cells of the domain bound it from below. No
-link between components is left untested: components are exact.
+pairs. Of those pairs, the ones whose distance must be too large are left out by the join
+itself: the bits in which the sets' sketches differ bound it from below, and with six
+cells or more for each difference that is allowed, few pairs get past it that are not
+links. No pair of a signature is left untested.
 
 Defined results: texts that are null or without words have an empty set and are linked
 with nothing; with fewer words than a shingle, the whole sequence is the one element;
@@ -75,10 +76,6 @@ def set_key(elements: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-# Cells of the domain in which elements are counted, as a power of two.
-CELL_BITS = 7
-
-
 class Bands:
     """Size bands for a threshold in percent, and the distance bound of each."""
 
@@ -107,6 +104,25 @@ def bands_of(percent: int) -> Bands:
     return Bands(percent)
 
 
+# Bits of a sketch for each difference that similar sets may have, at least.
+SPREAD = 6
+
+
+def sketch(elements: np.ndarray, percent: int) -> np.ndarray:
+    """The parity of the elements in every cell of the domain, as 64-bit words.
+
+    An element that two sets do not share flips one bit, so sketches differ in no more
+    bits than the sets do in elements. The number of cells is a power of two that follows
+    the size; halves of a sketch, one put over the other, are the sketch of half as many.
+    """
+    bands = bands_of(percent)
+    wanted = SPREAD * bands.bound(bands.of(len(elements)))
+    cells = 1 << max(6, wanted.bit_length())
+    places = (elements & U64(cells - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=cells) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
 # For few differences, groups of five parts of which two may differ; else three and one.
 FEW = 24
 _SUBSETS = {
@@ -150,24 +166,23 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, list[np.ndar
         yield first, np.split(elements, np.cumsum(counts)[:-1])
 
 
-def keyed_sets(docs: DataFrame, width: int) -> DataFrame:
-    """Per row the size and the key of its set, and its elements' counts by cell."""
+def keyed_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per row the size, the key and the sketch of its set."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in _sets(batch, width):
                 keyed = [(len(s), *set_key(s)) for s in sets]
-                cells = [np.bincount((s >> U64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(sets)),
                         *(pa.array(c, pa.int64()) for c in zip(*keyed, strict=True)),
-                        _lists([np.minimum(c, 127) for c in cells], pa.int8()),
+                        _lists([sketch(s, percent) for s in sets]),
                     ],
                     ["doc_id", "n", "k1", "k2", "cells"],
                 )
 
-    return docs.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long, cells array<byte>")
+    return docs.mapInArrow(keys, "doc_id long, n long, k1 long, k2 long, cells array<long>")
 
 
 def signed_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -205,10 +220,10 @@ def listed_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(listed, "doc_id long, elements array<long>")
 
 
-def _lists(arrays: list[np.ndarray], kind: pa.DataType | None = None) -> pa.ListArray:
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
     values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int8) if kind else values))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -227,11 +242,18 @@ def _near_sizes(na: str, nb: str, percent: int) -> Column:
     return F.coalesce(100 * F.least(na, nb) >= percent * F.greatest(na, nb), F.lit(True))
 
 
-def _near_counts(percent: int) -> Column:
-    """Whether the counts of ``cells`` and ``cells_b`` allow the threshold; unknown ones
-    do."""
+def _folded(cells: Column, other: Column) -> Column:
+    """A sketch with the cells of another that has as many or half as many."""
+    half = F.size(other)
+    over = F.zip_with(F.slice(cells, 1, half), F.slice(cells, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(cells) > half, over).otherwise(cells)
+
+
+def _near_sketches(percent: int) -> Column:
+    """Whether the sketches ``cells`` and ``cells_b`` allow the threshold; unknown ones do."""
+    a, b = F.col("cells"), F.col("cells_b")
     apart = F.aggregate(
-        F.zip_with("cells", "cells_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
+        F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
         F.lit(0), lambda n, x: n + x,
     )
     near = (100 + percent) * apart <= (100 - percent) * (F.col("size") + F.col("size_b"))
@@ -254,7 +276,7 @@ def _led(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
         F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("cells").alias("cells_b")
     )
     return pairs.join(left, "a").join(right, "b").where(
-        _near_sizes("size", "size_b", percent) & _near_counts(percent)
+        _near_sizes("size", "size_b", percent) & _near_sketches(percent)
     ).select("a", "b")
 
 
@@ -270,7 +292,7 @@ def _across(members: DataFrame, labels: DataFrame, cells: DataFrame, percent: in
     return mixed.alias("m").join(
         other.alias("o"),
         (F.col("m.signature") == F.col("o.signature")) & (F.col("label") < F.col("label_b"))
-        & _near_sizes("size", "size_b", percent) & _near_counts(percent),
+        & _near_sizes("size", "size_b", percent) & _near_sketches(percent),
     ).select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
@@ -279,7 +301,7 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, width: int = 5,
     """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by
     links, its own included) of every row."""
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    keyed = stage(keyed_sets(whole, width))
+    keyed = stage(keyed_sets(whole, width, percent))
     linkable = keyed.where("n > 0 AND doc_id IS NOT NULL")
     nodes = stage(
         linkable.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.first("n").alias("size"))
@@ -293,7 +315,7 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, width: int = 5,
     members = stage(
         shared.where("low != high").join(node_of, "doc_id").select("signature", "node", "size").distinct()
     )
-    # An id with several texts is a node with several sets: its counts say nothing.
+    # An id with several texts is a node with several sets: its sketches say nothing.
     single = F.min("cells") == F.max("cells")
     cells = stage(
         node_of.where("doc_id = node").groupBy("node").agg(

@@ -344,3 +344,25 @@ def test_personal_data_adds_spellings(docs_of):
     assert (got[7]["n_email"], got[7]["n_ip"], got[7]["n_phone"]) == (1, 1, 0)
     assert all(got[i]["spans"] == "" for i in (None, 1, 2, 3, 8))
     assert personal_data.find(docs_of([]), "doc_id", "text").count() == 0
+
+
+# op3, sketches
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_bound_the_distance_from_below(percent):
+    rng = np.random.default_rng(percent)
+    for n in (1, 3, 30, 300, 3000):
+        for cut in (0, 1, n // 20, n // 5, n // 2):
+            a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            b = np.unique(np.concatenate([a[cut:], rng.integers(0, 2**64, cut // 2, np.uint64)]))
+            if not len(b):
+                continue
+            x, y = (np.unpackbits(set_join.sketch(s, percent).view(np.uint8), bitorder="little") for s in (a, b))
+            while len(x) != len(y):
+                if len(x) > len(y):
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                else:
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            apart = len(np.setxor1d(a, b))
+            assert (x != y).sum() <= apart and (x != y).sum() % 2 == apart % 2
