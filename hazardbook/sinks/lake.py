@@ -193,9 +193,10 @@ class Lake:
         files = new.groupBy("year", "batch", F.col("_metadata.file_path").alias("file")).agg(
             F.count("*").alias("rows")
         )
-        noted = new.groupBy("year", "batch").agg(
+        batches = new.groupBy("year", "batch").agg(
             F.count("*").alias("records"), (F.lit(None) if note is None else note).cast("string").alias("note")
         ).collect()  # one row a batch of this run
+        noted = [r for r in batches if (r.year, r.batch) in added]
         label = {
             (r.year, r.batch): str(r.year) + " backfill" if r.batch == YEAR_BATCH else r.batch for r in noted
         }
