@@ -15,7 +15,8 @@ sets. A link is lost only if hashing leaves all elements of every such group in
 under 1e-4 for a pair at the very bound of the smallest of these bands, under 1e-8 from
 200 shingles on, and less for any nearer pair; all else is exact.
 
-Equal sets are one node. A signature links its nodes to two leaders first; the rest is
+Equal sets are one node, and signatures with the same nodes are one signature, which links
+its nodes to two leaders first; the rest is
 verified only between different components, so a group of copies never becomes all its
 pairs. Of those pairs, the ones whose distance must be too large are left out by the join
 itself: the bits in which the sets' sketches differ bound it from below, and with six
@@ -260,6 +261,20 @@ def _near_sketches(percent: int) -> Column:
     return F.coalesce(near, F.lit(True))
 
 
+def _distinct_groups(members: DataFrame) -> DataFrame:
+    """The members of one signature for every set of nodes that share some: near sets share
+    many signatures, and one is enough to bring them together. Sets of nodes are told
+    apart by 128 bits, which are summed before they are exchanged."""
+    def mark(seed: int) -> Column:
+        return F.bit_xor(F.xxhash64("node", "size", F.lit(seed))).alias(f"mark{seed}")
+
+    groups = members.groupBy("signature").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), mark(1), mark(2), F.count("*").alias("held")
+    ).where("low != high")
+    chosen = groups.groupBy("mark1", "mark2", "held").agg(F.min("signature").alias("signature"))
+    return members.join(chosen.select("signature"), "signature", "left_semi")
+
+
 def _led(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Every member of a signature with the signature's first and last member, where
     they may be near."""
@@ -282,12 +297,14 @@ def _led(members: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
 
 def _across(members: DataFrame, labels: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Pairs that share a signature, lie in different components, and may be near."""
-    of = Window.partitionBy("signature")
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = stage(
+        members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    )
+    groups = labelled.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    apart = groups.where("low != high").select("signature")
     mixed = stage(
-        labelled.withColumns({"low": F.min("label").over(of), "high": F.max("label").over(of)})
-        .where("low != high").drop("low", "high").join(cells.select("node", "cells"), "node")
-    )
+        labelled.join(apart, "signature", "left_semi").join(cells.select("node", "cells"), "node")
+    )
     other = mixed.select("signature", *[F.col(c).alias(f"{c}_b") for c in ("node", "size", "label", "cells")])
     return mixed.alias("m").join(
         other.alias("o"),
@@ -312,9 +329,10 @@ def jaccard_components(docs: DataFrame, doc_id: str, text: str, width: int = 5,
     signed = signed_sets(whole, width, percent).select("doc_id", F.explode("signatures").alias("signature"))
     of = Window.partitionBy("signature")
     shared = signed.withColumns({"low": F.min("doc_id").over(of), "high": F.max("doc_id").over(of)})
-    members = stage(
+    signing = stage(
         shared.where("low != high").join(node_of, "doc_id").select("signature", "node", "size").distinct()
     )
+    members = stage(_distinct_groups(signing))
     # An id with several texts is a node with several sets: its sketches say nothing.
     single = F.min("cells") == F.max("cells")
     cells = stage(
