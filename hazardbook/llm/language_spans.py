@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.llm.common import U64, chunks, code_points, texts_of
+from hazardbook.session import stage
 
 BUCKETS = 1 << 15
 SWITCH = 12.0
 SAMPLE = 3000
+MANY_LANGUAGES = 10_000  # as many rows of the shares are broadcast at most
 UNKNOWN = "und"
 
 # First and last code point of the blocks of a script.
@@ -85,8 +87,12 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int = SAMP
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
-    share = labelled.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
-    drawn = labelled.join(share, "lang").where(
+    share = stage(
+        labelled.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    )
+    # One row a language: texts stay where they are, whatever language a third of them has.
+    few = share.count() <= MANY_LANGUAGES
+    drawn = labelled.join(F.broadcast(share) if few else share, "lang").where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.col("share") * 1_000_003
     )
 
