@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.llm.common import viterbi
+from hazardbook.session import stage
 
 PIECE = 64
 SMOOTH = 0.01
@@ -79,7 +80,9 @@ def pieces(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
     """``conv_id``, ``piece`` and its turns in order as (role, lines of the transcript).
 
     A row with a known role is written with a marker in one of three styles, as
-    transcripts of different origin are.
+    transcripts of different origin are. More than ``PIECE`` rows of one number, which
+    repeated or missing turn or conversation numbers make, have no order among
+    themselves; they are dealt into as many pieces of that number as they need.
     """
     word = F.initcap(F.col(role))
     style = F.pmod(F.xxhash64(F.col(conv)), F.lit(3))
@@ -90,9 +93,20 @@ def pieces(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
     written = F.concat(F.coalesce(marker, F.lit("")), F.coalesce(F.col(text), F.lit("")))
     row = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), written.alias("written"))
     number = F.coalesce(F.col(turn), F.lit(0))
-    return turns.select(
-        F.col(conv).alias("conv_id"), F.floor(number / PIECE).cast("long").alias("piece"), row.alias("row")
-    ).groupBy("conv_id", "piece").agg(F.array_sort(F.collect_list("row")).alias("turns"))
+    rows = turns.select(
+        F.col(conv).alias("conv_id"), F.floor(number / PIECE).cast("long").alias("piece"), row.alias("row"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    crowded = stage(
+        rows.groupBy("conv_id", "piece").agg(F.count("*").alias("held")).where(F.col("held") > PIECE)
+        .select(F.col("conv_id").alias("c"), F.col("piece").alias("p"), F.ceil(F.col("held") / (PIECE * 0.75)).alias("parts"))
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("piece") == F.col("p"))
+    part = F.coalesce(F.pmod(F.xxhash64("at"), F.col("parts")), F.lit(0)).alias("part")
+    dealt = rows.join(crowded, same, "left").select("conv_id", "piece", part, "row")
+    return dealt.groupBy("conv_id", "piece", "part").agg(
+        F.array_sort(F.collect_list("row")).alias("turns")
+    ).drop("part")
 
 
 def learn(cut: DataFrame) -> Model | None:

@@ -366,3 +366,31 @@ def test_sketches_bound_the_distance_from_below(percent):
                     y = y[: len(y) // 2] ^ y[len(y) // 2 :]
             apart = len(np.setxor1d(a, b))
             assert (x != y).sum() <= apart and (x != y).sum() % 2 == apart % 2
+
+
+# op2, hot conversations
+
+
+def test_pieces_stay_bounded_when_numbers_repeat(spark):
+    rows = [(None, None, "user", f"a {i}") for i in range(4000)] + [(7, 3, None, "same")] * 3000 + [(8, i, "assistant", f"b {i}") for i in range(200)]
+    rows += [(8, 5, None, "B 5"), (None, 1, None, "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("piece", F.lit("clash"))
+    cut = transcripts.pieces(turns, "conv_id", "turn", "role", "text")
+    assert cut.columns == ["conv_id", "piece", "turns"]
+    sizes = cut.select("conv_id", "piece", F.size("turns").alias("n")).collect()
+    assert sum(r["n"] for r in sizes) == len(rows) and max(r["n"] for r in sizes) <= 2 * transcripts.PIECE
+    ordered = cut.where("conv_id = 8").orderBy("piece").select("piece", "turns.turn").collect()
+    assert [r["turn"][0] for r in ordered if r["piece"] > 0] == [64, 128, 192]
+    assert all(r["turn"] == sorted(r["turn"]) for r in ordered)
+    again = transcripts.pieces(turns.repartition(7), "conv_id", "turn", "role", "text")
+    assert again.selectExpr("explode(turns) AS t").groupBy("t").count().exceptAll(cut.selectExpr("explode(turns) AS t").groupBy("t").count()).isEmpty()
+
+
+def test_parsed_turns_with_unknown_and_long_rows(spark):
+    long = "word " * 50_000
+    turns = [(1, 0, "user", "Hi"), (1, 1, None, "no marker here"), (1, 2, "assistant", long), (2, 0, None, "User: written out"), (2, 1, "user", "b")]
+    cut = transcripts.pieces(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), "conv_id", "turn", "role", "text")
+    got = {(r["conv_id"], r["turn"]): r for r in transcripts.parse(cut, transcripts.learn(cut)).collect()}
+    assert got[1, 0]["rendered"] == transcripts.rendered("user", "Hi\nno marker here")
+    assert got[1, 1]["rendered"] == transcripts.rendered("assistant", long)
+    assert got[2, 0]["rendered"] == transcripts.rendered("user", "written out")
