@@ -33,25 +33,46 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     ranged(df, keys).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+ROWS_A_CHUNK = 10_000
+
+
 def file_ranges(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per stored file: its rows, the smallest and the greatest key, how many rows are out
     of order in it, and whether its range overlaps that of the file before.
 
     Files of one batch touch at most in an equal key, of which each holds some rows.
+
+    A file's rows are compared in chunks, which then are compared at their ends, so no task
+    holds a file. Rows name their file by a number, not by its long path.
     """
-    key = F.struct(*keys)
-    placed = stored.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
-        key.alias("key"),
+    path, key = F.col("_metadata.file_path"), F.struct(*keys)
+    numbered = Window.orderBy("file")  # one row a file
+    files = stored.groupBy(path.alias("file")).agg(F.count("*").alias("rows")).withColumn(
+        "id", F.row_number().over(numbered)
     )
-    in_file = Window.partitionBy("file").orderBy("at")
-    files = placed.withColumn("before", F.lag("key").over(in_file)).groupBy("file").agg(
-        F.count("*").alias("rows"),
-        F.min("key").alias("low"),
-        F.max("key").alias("high"),
-        F.count_if(F.col("before") > F.col("key")).alias("unsorted_rows"),
+    placed = stored.select(
+        path.alias("file"), F.col("_metadata.row_index").alias("at"), key.alias("key")
+    ).join(F.broadcast(files.select("file", "id")), "file").drop("file")
+    in_chunk = Window.partitionBy("id", "chunk").orderBy("at")
+    chunks = (
+        placed.withColumn("chunk", F.floor(F.col("at") / ROWS_A_CHUNK))
+        .withColumn("before", F.lag("key").over(in_chunk))
+        .groupBy("id", "chunk")
+        .agg(
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            F.min_by("key", "at").alias("first"),
+            F.max_by("key", "at").alias("last"),
+            F.count_if(F.col("before") > F.col("key")).alias("unsorted_rows"),
+        )
+    )
+    in_file = Window.partitionBy("id").orderBy("chunk")
+    ranges = chunks.withColumn("before", F.lag("last").over(in_file)).groupBy("id").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        (F.sum("unsorted_rows") + F.count_if(F.col("before") > F.col("first"))).alias("unsorted_rows"),
     )
     in_order = Window.orderBy("low", "high")  # one row a file
-    return files.withColumn(
+    return files.join(ranges, "id").drop("id").withColumn(
         "overlaps", F.coalesce(F.lag("high").over(in_order) > F.col("low"), F.lit(False))
     )

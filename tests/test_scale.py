@@ -8,6 +8,7 @@ from io import StringIO
 from pyspark.sql import functions as F
 
 from hazardbook.functions.times import iso_date, iso_timestamp
+from hazardbook.sinks import files
 
 
 def plan_of(rows) -> str:
@@ -25,3 +26,14 @@ def test_a_time_text_is_matched_a_few_times_only(spark):
     assert [(str(r["at"]), str(r["day"])) for r in rows.collect()] == [
         ("2024-01-01 02:04:00", "None"), ("2024-01-02 00:00:00", "2024-01-02"),
     ]
+
+
+def test_files_are_checked_in_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ROWS_A_CHUNK", 3)
+    for keys in ([1, 2, 3, 2, 5, 4, 6], [6, 7, 8, 9]):  # out of order at a chunk's end and inside
+        rows = spark.createDataFrame([(k,) for k in keys], "k int").coalesce(1)
+        rows.write.mode("append").parquet(str(tmp_path / "stored"))
+    found = files.file_ranges(spark.read.parquet(str(tmp_path / "stored")), ["k"]).sort("low")
+    assert [(r["rows"], r["low"]["k"], r["high"]["k"], r["unsorted_rows"], r["overlaps"]) for r in found.collect()] == [
+        (7, 1, 6, 2, False), (4, 6, 9, 0, False),
+    ]
