@@ -28,8 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_A_TASK = 100_000
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Rows of a given table over all cores, for queries that write feed text from it: the
-    tables are single small files, and parsing costs far more than moving their rows."""
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+    tables are compact files, and parsing costs far more than moving their rows. A larger
+    table makes more tasks, not larger ones. Rows are dealt by a hash, which needs no sort."""
+    tasks = -(-scan.count() // ROWS_A_TASK)  # only footers are read
+    wanted = max(scan.sparkSession.sparkContext.defaultParallelism, tasks)
+    if scan.rdd.getNumPartitions() >= wanted:
+        return scan
+    return scan.repartition(wanted, *scan.columns[:2])

@@ -7,6 +7,7 @@ from io import StringIO
 
 from pyspark.sql import functions as F
 
+from hazardbook.bindings import registry
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files
 
@@ -28,6 +29,14 @@ def test_a_time_text_is_matched_a_few_times_only(spark):
     ]
 
 
+def test_a_larger_table_is_spread_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_A_TASK", 10)
+    rows = spark.range(1000, numPartitions=2).selectExpr("id", "id % 3 as kind")
+    spread = registry.spread(rows)
+    assert spread.rdd.getNumPartitions() == 100
+    assert spread.agg(F.count("*"), F.sum("id")).head()[:] == (1000, 499500)
+
+
 def test_files_are_checked_in_chunks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "ROWS_A_CHUNK", 3)
     for keys in ([1, 2, 3, 2, 5, 4, 6], [6, 7, 8, 9]):  # out of order at a chunk's end and inside
