@@ -498,7 +498,7 @@ def _folder(parts: DataFrame, folder: str) -> DataFrame:
 
 def _lake_of_snapshots(spark: SparkSession, sf: str) -> tuple[Lake, list]:
     lake = _new_lake(spark)
-    customers, parts = table(spark, sf, "customer"), table(spark, sf, "part")
+    customers, parts = spread(table(spark, sf, "customer")), spread(table(spark, sf, "part"))
     first = customers.where("c_mktsegment <> 'BUILDING'")
     second = customers.where("c_mktsegment <> 'MACHINERY'")
     changed = "if(c_acctbal < 0, 'other', c_mktsegment)"

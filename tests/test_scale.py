@@ -7,9 +7,10 @@ from io import StringIO
 
 from pyspark.sql import functions as F
 
-from hazardbook.bindings import registry
+from hazardbook.bindings import jobs, registry
 from hazardbook.functions.times import iso_date, iso_timestamp
-from hazardbook.sinks import files
+from hazardbook.sinks import files, ingest
+from hazardbook.sinks.lake import BatchResult
 
 
 def plan_of(rows) -> str:
@@ -37,6 +38,19 @@ def test_a_larger_table_is_spread_over_more_tasks(spark, monkeypatch):
     assert spread.agg(F.count("*"), F.sum("id")).head()[:] == (1000, 499500)
 
 
+def test_snapshot_feeds_are_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    spark.range(5).selectExpr(
+        "id as c_custkey", "'BUILDING' as c_mktsegment", "1.0D as c_acctbal"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(5).selectExpr("id as p_partkey", "1 as p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spread = []
+    monkeypatch.setattr(jobs, "spread", lambda scan: spread.append(scan.columns[0]) or scan)
+    for job in ("add_exploited", "add_templates"):
+        monkeypatch.setattr(ingest, job, lambda *_: BatchResult("published"))
+    jobs._lake_of_snapshots(spark, str(tmp_path))
+    assert spread == ["c_custkey", "p_partkey"]
+
+
 def test_files_are_checked_in_chunks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "ROWS_A_CHUNK", 3)
     for keys in ([1, 2, 3, 2, 5, 4, 6], [6, 7, 8, 9]):  # out of order at a chunk's end and inside
