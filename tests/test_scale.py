@@ -8,6 +8,7 @@ from io import StringIO
 from pyspark.sql import functions as F
 
 from hazardbook.bindings import jobs, registry
+from hazardbook.functions.nested import affected_ranges
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files, ingest
 from hazardbook.sinks.lake import BatchResult
@@ -60,3 +61,13 @@ def test_files_are_checked_in_chunks(spark, tmp_path, monkeypatch):
     assert [(r["rows"], r["low"]["k"], r["high"]["k"], r["unsorted_rows"], r["overlaps"]) for r in found.collect()] == [
         (7, 1, 6, 2, False), (4, 6, 9, 0, False),
     ]
+
+
+def test_range_starts_are_worked_out_once(spark):
+    event = "struct<introduced:string,fixed:string,last_affected:string>"
+    rows = spark.createDataFrame([([(("p", "n"), [([("0", None, None), (None, "2", None), ("3", None, None)],)])],)],
+        f"a array<struct<package:struct<ecosystem:string,name:string>,ranges:array<struct<events:array<{event}>>>>>",
+    )
+    ranges = rows.select(affected_ranges(F.col("a")).alias("r"))
+    assert [tuple(x) for x in ranges.head()["r"]] == [("p", "n", "0", "2", None), ("p", "n", "3", None, None)]
+    assert plan_of(ranges).count("filter(") <= 3
