@@ -8,10 +8,12 @@ from io import StringIO
 from pyspark.sql import functions as F
 
 from hazardbook.bindings import jobs, registry
+from hazardbook.functions import cvss
 from hazardbook.functions.nested import affected_ranges
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files, ingest
 from hazardbook.sinks.lake import BatchResult
+from hazardbook.sources import advisories
 
 
 def plan_of(rows) -> str:
@@ -71,3 +73,17 @@ def test_range_starts_are_worked_out_once(spark):
     ranges = rows.select(affected_ranges(F.col("a")).alias("r"))
     assert [tuple(x) for x in ranges.head()["r"]] == [("p", "n", "0", "2", None), ("p", "n", "3", None, None)]
     assert plan_of(ranges).count("filter(") <= 3
+
+
+def test_an_advisory_is_scored_in_steps(spark):
+    base = "CVSS:3.{}/AV:{}/AC:H/PR:{}/UI:R/S:{}/C:{}/I:L/A:N"
+    vectors = [base.format(*x) for x in ("0NLUH", "1PHCN", "1ANCL", "0LNUN")] + ["CVSS:3.1/AV:N", "", None]
+    rows = spark.createDataFrame([(v,) for v in vectors], "v string").withColumn("ok", cvss.is_valid_v3(F.col("v")))
+    scored = cvss.with_v3_base_score(rows, "v", "ok", "score").withColumn("same", cvss.v3_base_score(F.col("v")))
+    assert scored.columns == ["v", "ok", "score", "same"]
+    found = scored.collect()
+    assert all(r["score"] == r["same"] for r in found) and sum(r["score"] is not None for r in found) == 4
+    document = """{"id":"GHSA-1","published":"2024-01-02T00:00:00Z","severity":[{"type":"CVSS_V3","score":"%s"}]}"""
+    parsed = advisories.advisory_rows(spark.createDataFrame([(document % vectors[0],)], "value string"))
+    assert parsed.head()["cvss"] == found[0]["same"]
+    assert plan_of(parsed).count("instr(") <= 8
