@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardbook.functions.strings import strip
@@ -15,6 +17,21 @@ def json_string(value: Column, path: str) -> Column:
     return F.when((F.schema_of_variant(field) == "STRING") & (text != ""), text)
 
 
+def with_json_strings(rows: DataFrame, value: str, paths: Mapping[str, str]) -> DataFrame:
+    """``rows`` with a ``json_string`` of their ``value`` column for every name. Fields and
+    texts are projected one after the other: each is read once, however often it is named."""
+    fields = {name: F.try_variant_get(value, path, "variant").alias(f"__{name}") for name, path in paths.items()}
+    texts = {
+        name: F.when(F.schema_of_variant(f"__{name}") == "STRING", F.col(f"__{name}").cast("string"))
+        for name in paths
+    }
+    return (
+        rows.select("*", *fields.values())
+        .select(*rows.columns, *[text.alias(name) for name, text in texts.items()])
+        .select(*rows.columns, *[F.when(F.col(name) != "", F.col(name)).alias(name) for name in paths])
+    )
+
+
 _DIGITS = "[0-9](?:_?[0-9])*"
 _NUMBER = (
     f"^[+-]?(?:(?:{_DIGITS}(?:[.](?:{_DIGITS})?)?|[.]{_DIGITS})(?:[eE][+-]?{_DIGITS})?"

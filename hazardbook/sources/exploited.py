@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardbook.functions.jsontext import json_string
+from hazardbook.functions.jsontext import with_json_strings
 from hazardbook.functions.strings import (
     CVE_PATTERN,
     empty_strings,
@@ -37,16 +37,13 @@ def exploited_rows(documents: DataFrame) -> DataFrame:
             )
         ).alias("position", "entry"),
     )
-    v = F.try_parse_json("entry")
-    listed_cwes = F.from_json("entry", "cwes array<variant>")["cwes"]
+    listed_cwes = F.try_variant_get("v", "$.cwes", "array<variant>")
     texts = F.transform(
         F.filter(listed_cwes, lambda c: F.schema_of_variant(c) == "STRING"),
         lambda c: c.cast("string"),
     )
-    rows = entries.withColumn("v", v)
-    v = F.col("v")
-    cve = json_string(v, "$.cveID")
     named = {
+        "cve": "cveID",
         "vendor_project": "vendorProject",
         "product": "product",
         "vulnerability_name": "vulnerabilityName",
@@ -54,14 +51,20 @@ def exploited_rows(documents: DataFrame) -> DataFrame:
         "required_action": "requiredAction",
         "known_ransomware_campaign_use": "knownRansomwareCampaignUse",
         "notes": "notes",
+        "date_added": "dateAdded",
+        "due_date": "dueDate",
     }
+    rows = with_json_strings(
+        entries.withColumn("v", F.try_parse_json("entry")),
+        "v",
+        {c: f"$.{field}" for c, field in named.items()},
+    )
     return rows.select(
         *[c for c in documents.columns if c != "value"],
-        cve.alias("cve"),
-        *[json_string(v, f"$.{field}").alias(c) for c, field in named.items()],
+        *[c for c in named if c not in ("date_added", "due_date")],
         F.coalesce(upper_items(trimmed_items(texts)), empty_strings()).alias("cwe"),
-        iso_date(json_string(v, "$.dateAdded")).alias("date_added"),
-        iso_date(json_string(v, "$.dueDate")).alias("due_date"),
+        iso_date(F.col("date_added")).alias("date_added"),
+        iso_date(F.col("due_date")).alias("due_date"),
         "position",
-        F.coalesce(cve.rlike(f"^{CVE_PATTERN}$"), F.lit(False)).alias("valid"),
+        F.coalesce(F.col("cve").rlike(f"^{CVE_PATTERN}$"), F.lit(False)).alias("valid"),
     )

@@ -13,7 +13,7 @@ from hazardbook.functions.nested import affected_ranges
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files, ingest
 from hazardbook.sinks.lake import BatchResult
-from hazardbook.sources import advisories
+from hazardbook.sources import advisories, exploited
 
 
 def plan_of(rows) -> str:
@@ -87,3 +87,17 @@ def test_an_advisory_is_scored_in_steps(spark):
     parsed = advisories.advisory_rows(spark.createDataFrame([(document % vectors[0],)], "value string"))
     assert parsed.head()["cvss"] == found[0]["same"]
     assert plan_of(parsed).count("instr(") <= 8
+
+
+def test_fields_of_an_entry_are_read_once(spark):
+    text = """{"vulnerabilities":[{"cveID":"CVE-2024-1","notes":"","product":5,"dateAdded":"20240102",
+        "dueDate":"2024-01-03","cwes":[" cwe-1 ",7,null]},{"cveID":"CVE-2024-2","cwes":"cwe-2"},"text"]}"""
+    rows = exploited.exploited_rows(spark.createDataFrame([(text,)], "value string"))
+    fields = ("cve", "notes", "product", "cwe", "date_added", "due_date", "valid")
+    assert [tuple(str(r[f]) for f in fields) for r in rows.collect()] == [
+        ("CVE-2024-1", "None", "None", "['CWE-1']", "2024-01-02", "2024-01-03", "True"),
+        ("CVE-2024-2", "None", "None", "[]", "None", "None", "True"),
+        ("None", "None", "None", "[]", "None", "None", "False"),
+    ]
+    plan = plan_of(rows)
+    assert plan.count("variant_get(") <= 11 and plan.count("from_json(") == 1
