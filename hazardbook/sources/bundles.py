@@ -48,10 +48,15 @@ def read_bundles(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
 
 def bundle_objects(documents: DataFrame, *scope: str) -> DataFrame:
     """One row per object with its ``position`` in the bundle, parsed as ``o``."""
+    # Parsed inside of the generator: a filter on a field would be pushed below a parser in
+    # a projection, and every field it names would parse the object again.
     listed = F.from_json("value", "objects array<string>")["objects"]
-    return documents.select(
-        *scope, F.posexplode(listed).alias("position", "source")
-    ).withColumn("o", F.from_json("source", _OBJECT))
+    parsed = F.transform(
+        listed, lambda s: F.struct(s.alias("source"), F.from_json(s, _OBJECT).alias("o"))
+    )
+    return documents.select(*scope, F.posexplode(parsed).alias("position", "object")).select(
+        *scope, "position", "object.source", "object.o"
+    )
 
 
 def _common(source: str) -> list[Column]:

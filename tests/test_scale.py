@@ -13,7 +13,7 @@ from hazardbook.functions.nested import affected_ranges
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files, ingest
 from hazardbook.sinks.lake import BatchResult
-from hazardbook.sources import advisories, exploited
+from hazardbook.sources import advisories, bundles, exploited
 
 
 def plan_of(rows) -> str:
@@ -101,3 +101,12 @@ def test_fields_of_an_entry_are_read_once(spark):
     ]
     plan = plan_of(rows)
     assert plan.count("variant_get(") <= 11 and plan.count("from_json(") == 1
+
+
+def test_a_bundle_object_is_parsed_once_for_each_side(spark):
+    text = """{"objects":[{"type":"relationship","id":"r","source_ref":"a","target_ref":"b"},"text",
+        {"type":"x","id":"a","name":"A"},{"type":"x","id":"a","name":"B"},{"type":"tool","id":"b","name":"C"}]}"""
+    documents = spark.createDataFrame([("m", text), ("n", "{}")], "matrix string, value string")
+    rows = bundles.relationship_rows(bundles.bundle_objects(documents, "matrix"))
+    assert [(r["matrix"], r["source_name"], r["target_name"]) for r in rows.collect()] == [("m", "B", "C")]
+    assert plan_of(rows).count("from_json(") <= 6  # three sides: the list and its objects
