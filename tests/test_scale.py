@@ -13,7 +13,7 @@ from hazardbook.functions.nested import affected_ranges
 from hazardbook.functions.times import iso_date, iso_timestamp
 from hazardbook.sinks import files, ingest
 from hazardbook.sinks.lake import BatchResult
-from hazardbook.sources import advisories, bundles, exploited
+from hazardbook.sources import advisories, bundles, exploited, records
 
 
 def plan_of(rows) -> str:
@@ -110,3 +110,13 @@ def test_a_bundle_object_is_parsed_once_for_each_side(spark):
     rows = bundles.relationship_rows(bundles.bundle_objects(documents, "matrix"))
     assert [(r["matrix"], r["source_name"], r["target_name"]) for r in rows.collect()] == [("m", "B", "C")]
     assert plan_of(rows).count("from_json(") <= 6  # three sides: the list and its objects
+
+
+def test_rows_before_the_newest_stored_one_are_parsed_no_further_than_their_date(spark):
+    texts = spark.createDataFrame([("a", "{}")], "path string, value string")
+    for rows, order in ((advisories.advisory_rows(texts), "modified"), (records.record_rows(texts), "date_updated")):
+        late = F.col(order) >= F.lit("2024-01-01").cast("timestamp_ntz")
+        plan = plan_of(rows.where(~F.col("valid") | late))
+        below = plan[plan.index("Filter"):].splitlines()
+        assert "CollectMetrics" in below[1]  # the rest is worked out above the filter
+        assert plan.count("from_json(") == 1
