@@ -120,3 +120,48 @@ def test_rows_before_the_newest_stored_one_are_parsed_no_further_than_their_date
         below = plan[plan.index("Filter"):].splitlines()
         assert "CollectMetrics" in below[1]  # the rest is worked out above the filter
         assert plan.count("from_json(") == 1
+
+
+def test_documents_that_a_light_read_settles_are_not_parsed(spark):
+    day, new, tab = '"published":"2024-01-02T00:00:00Z"', '"modified":"2024-06-01T00:00:00Z"', '"summary":"a\tb"'
+    parts = [f'"id":"GHSA-1",{day}', f'"id":"GHSA-2",{day},{new}', f'"id":"GHSA-3",{tab},{day},{new}',
+             f'"id":"GHSA-4",{tab},{day}', '"id":"GHSA-5","modified":"soon","published":"20240801"',
+             '"id":"GHSA-6"', f'"id":"OSV-7",{day}', f'"id":8,{new}', f'{day},{new}',
+             f'"id":"GHSA-9",{new},"severity":5,"affected":[1]', f'"id":{{"a":1}},{day}']
+    texts = [f"{{{p}}}" for p in parts]
+    texts += [texts[0][:20], texts[1][:-1], f"[{texts[1]}]", f"{texts[0]} tail", "[]", "", "null", None]
+    names = {'"id"': '"cveId"', '"published"': '"datePublished"', '"modified"': '"dateUpdated"'}
+
+    def record(text):
+        for name, other in names.items():
+            text = text.replace(name, other)
+        return f'{{"containers":{{"cna":{{"title":"a"}},"adp":[null,1]}},"cveMetadata":{text}}}'
+
+    since = F.lit("2024-06-01").cast("timestamp_ntz")
+    for parser, order, values in (
+        (advisories.advisory_rows, "modified", texts),
+        (records.record_rows, "date_updated", [t and record(t) for t in texts]),
+    ):
+        documents = spark.createDataFrame([("CVE-2024-0001.json", v) for v in values], "path string, value string")
+        whole, left = parser(documents), parser(documents, since)
+        valid = F.coalesce("valid", F.lit(False))
+        late = [rows.where(valid & (F.col(order) >= since)) for rows in (whole, left)]
+        assert late[0].count() >= 3 and late[0].exceptAll(late[1]).isEmpty() and late[1].exceptAll(late[0]).isEmpty()
+        assert whole.where(~valid).count() == left.where(~valid).count() >= 8
+        assert left.where(valid & F.col("raw").contains(values[0])).count() < whole.where(valid & F.col("raw").contains(values[0])).count()
+        lines = plan_of(left).splitlines()
+        parsed = [i for i, line in enumerate(lines) if "from_json(" in line]
+        filters = [i for i, line in enumerate(lines) if "Filter" in line]
+        assert len(parsed) == 2 and parsed[0] < filters[-1] < parsed[1]  # the whole parse is above
+
+
+def test_the_metric_is_built_for_the_first_hit_only(spark):
+    score = "struct<version:string,baseScore:string,baseSeverity:string,vectorString:string>"
+    metric = ",".join(f"{key}:{score}" for key in cvss.METRIC_KEYS)
+    none, v2, v3, v4 = (None,) * 4, ("", "5.5", "LOW", "AV:N"), ("3.1", "9", None, None), ("4.0", "x", None, None)
+    rows = spark.createDataFrame(
+        [([(None,), None, ([(v4, None, None, v2), none, None, (None, v3, None, None)],)],), ([(v2,)][:0],), (None,)],
+        f"c array<struct<metrics:array<struct<{metric}>>>>",
+    ).select(cvss.best_record_metric(F.col("c")).alias("m"))
+    assert [r["m"] and tuple(r["m"]) for r in rows.collect()] == [(9.0, "3.1", None, None), None, None]
+    assert plan_of(rows).count("flatten(") == 0
